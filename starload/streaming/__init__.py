@@ -1,0 +1 @@
+"""Intentionally empty: every load is a batch chosen by its sample date."""
