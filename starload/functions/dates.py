@@ -30,9 +30,13 @@ def parse_as_of(value: str | date | datetime) -> datetime:
     raise ValueError(f"not a load date: {value!r}")
 
 
-def instant(value: str | date | datetime) -> Column:
+def instant_sql(value: str | date | datetime) -> str:
     """Zone-free timestamp literal; a typed literal keeps comparisons pushable."""
-    return F.lit(parse_as_of(value).isoformat(sep=" ")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{parse_as_of(value).isoformat(sep=' ')}'"
+
+
+def instant(value: str | date | datetime) -> Column:
+    return F.expr(instant_sql(value))
 
 
 def run_day_midnight() -> Column:

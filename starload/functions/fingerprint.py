@@ -7,10 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions.names import quoted
+
 SEPARATOR = "|"
 
 
-def row_text(columns: Sequence[Column | str], safe: bool = False) -> Column:
+def row_text_sql(values: Sequence[str], safe: bool = False) -> str:
+    """:func:`row_text` over SQL expressions."""
+    texts = [f"CAST({v} AS STRING)" for v in values]
+    if safe:
+        texts = [f"COALESCE(CONCAT(LENGTH({t}), ':', {t}), '-')" for t in texts]
+    return f"CONCAT_WS('{SEPARATOR}', {', '.join(texts)})"
+
+
+def row_text(columns: Sequence[str], safe: bool = False) -> Column:
     """Text that two rows share exactly when their fingerprints agree.
 
     The default skips nulls and does not escape the separator, which is what a
@@ -18,16 +28,10 @@ def row_text(columns: Sequence[Column | str], safe: bool = False) -> Column:
     ``safe`` writes the length in front of each value and marks nulls, so no two
     different rows agree.
     """
-    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    if safe:
-        texts = [
-            F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-"))
-            for t in texts
-        ]
-    return F.concat_ws(SEPARATOR, *texts)
+    return F.expr(row_text_sql([quoted(c) for c in columns], safe))
 
 
-def row_hash(columns: Sequence[Column | str], safe: bool = False) -> Column:
+def row_hash(columns: Sequence[str], safe: bool = False) -> Column:
     """MD5 of :func:`row_text`."""
     return F.md5(row_text(columns, safe))
 

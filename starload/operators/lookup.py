@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions.names import quoted
 from starload.functions.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_bounded
 
 
@@ -35,16 +36,13 @@ def lookup(
     keys of the left side.
     """
     columns = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
-    right = other.select(
-        [F.col(r).alias(f"__on_{i}") for i, r in enumerate(on.values())]
-        + [F.col(source).alias(name) for source, name in columns.items()]
+    right = other.selectExpr(
+        *[f"{quoted(r)} AS __on_{i}" for i, r in enumerate(on.values())],
+        *[f"{quoted(source)} AS {quoted(name)}" for source, name in columns.items()],
     )
     right = broadcast_if_bounded(right, broadcast_limit)
-    condition = None
-    for i, left_name in enumerate(on):
-        left, key = df[left_name], right[f"__on_{i}"]
-        part = left.eqNullSafe(key) if null_safe else left == key
-        condition = part if condition is None else condition & part
+    keys = [(df[name], right[f"__on_{i}"]) for i, name in enumerate(on)]
+    condition = [a.eqNullSafe(b) if null_safe else a == b for a, b in keys]
     return df.join(right, condition, "left").drop(*[f"__on_{i}" for i in range(len(on))])
 
 

@@ -12,18 +12,18 @@ history of a key is. Two joins do the work:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
-from operator import and_
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starload.functions.dates import OPEN_END, instant, run_day_midnight
-from starload.functions.fingerprint import row_text
+from starload.functions.dates import OPEN_END, instant_sql, run_day_midnight
+from starload.functions.fingerprint import row_text_sql
+from starload.functions.names import quoted
 from starload.operators.keys import EMPTY_SEED, assign_surrogate_keys, max_key
 from starload.schemas import require_columns
 
@@ -68,23 +68,6 @@ class Scd2Spec:
         return [c for c in target.columns if c not in self.technical]
 
 
-@dataclass(frozen=True)
-class Scd2Result:
-    """Frames of one merge; each is lazy.
-
-    ``full`` is the new content of the dimension. ``insert`` holds the rows to
-    add, with any further source columns; ``close`` the rows whose interval was
-    ended; ``corrected`` the rows that started on the same date and were replaced
-    in place; ``rejected`` the source rows without a complete business key.
-    """
-
-    full: DataFrame
-    insert: DataFrame
-    close: DataFrame
-    corrected: DataFrame
-    rejected: DataFrame
-
-
 def check_columns(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> None:
     """Every non-technical column of the target must be in the source."""
     require_columns(source, target.columns, ignore=spec.technical)
@@ -100,7 +83,7 @@ class KeyCheck:
 
 def check_keys(df: DataFrame, key: Sequence[str]) -> KeyCheck:
     """Count key problems of a snapshot; reads the key columns only, in one job."""
-    complete = _all([F.col(k).isNotNull() for k in key])
+    complete = F.expr(_complete(key))
     counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     found = counted.agg(
         F.coalesce(F.sum(F.when(~complete, F.col("n"))), F.lit(0)).alias("incomplete"),
@@ -118,29 +101,55 @@ def drop_duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return best.select([F.col(c) if c in key else F.col(f"__row.{c}") for c in df.columns])
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(and_, conditions)
+def _and(conditions: Sequence[str]) -> str:
+    return " AND ".join(f"({c})" for c in conditions)
+
+
+def _complete(key: Sequence[str]) -> str:
+    return _and([f"{quoted(k)} IS NOT NULL" for k in key])
 
 
-def _valid_at(spec: Scd2Spec, at: Column) -> Column:
+def _s(name: str) -> str:
+    """Quoted name of a snapshot column next to the history row it was matched with."""
+    return quoted(f"__s_{name}")
+
+
+def _valid_at(spec: Scd2Spec, at: str) -> str:
     """Whether a history row is the one a snapshot of date ``at`` speaks about."""
-    start, end = F.col(spec.start), F.col(spec.end)
+    start, end = quoted(spec.start), quoted(spec.end)
     if spec.literal_intervals:
-        return F.coalesce(at.between(start, end), F.lit(False))
-    return (start.isNull() | (start <= at)) & (end.isNull() | (end > at))
+        return f"COALESCE({at} BETWEEN {start} AND {end}, false)"
+    return f"({start} IS NULL OR {start} <= {at}) AND ({end} IS NULL OR {end} > {at})"
 
 
-def _reachable(spec: Scd2Spec, at: Column) -> Column:
+def _reachable(spec: Scd2Spec, at: str) -> str:
     """Rows that have to meet the snapshot; the rest is kept whatever it says."""
     if spec.literal_intervals:
-        end = F.col(spec.end)
-        return end.isNull() | (end >= at)
+        end = quoted(spec.end)
+        return f"{end} IS NULL OR {end} >= {at}"
     return _valid_at(spec, at)
 
 
-def _with_complete_key(source: DataFrame, spec: Scd2Spec) -> tuple[DataFrame, DataFrame]:
-    complete = _all([F.col(k).isNotNull() for k in spec.business_key])
-    return source.where(complete), source.where(~complete)
+def _starts_at(spec: Scd2Spec, at: str) -> str:
+    return "false" if spec.literal_intervals else f"COALESCE({quoted(spec.start)} = {at}, false)"
+
+
+def _next_version(spec: Scd2Spec) -> str:
+    return f"COALESCE({quoted(spec.version)} + 1, 1)"
+
+
+def _reopened_end(spec: Scd2Spec) -> str:
+    """A late row ends where the row it cuts ended, so later history stays intact."""
+    far = instant_sql(spec.open_end)
+    return far if spec.literal_intervals else f"COALESCE({quoted(spec.end)}, {far})"
+
+
+def _typed(value: str, name: str, schema: StructType) -> str:
+    return f"CAST({value} AS {schema[name].dataType.simpleString()}) AS {quoted(name)}"
+
+
+def _same_type(a: StructType, b: StructType, name: str) -> bool:
+    return a[name].dataType == b[name].dataType
 
 
 def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -149,131 +158,202 @@ def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
     return source.join(keys, list(spec.business_key), "left_anti").select(source.columns)
 
 
-def matched(source: DataFrame, target: DataFrame, spec: Scd2Spec, at: Column) -> DataFrame:
-    """Reachable history rows with their snapshot row and the verdict on each.
+def matched(
+    source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of: str | date | datetime
+) -> DataFrame:
+    """History rows that meet the snapshot, with their snapshot row and the verdict.
 
-    Columns: those of the target, the snapshot row as ``__s_<column>`` and the
+    Columns: those of the target, the snapshot row as ``__s_<column>``, and the
     flags ``__present`` (key is in the snapshot), ``__differs`` (attributes
-    differ) and ``__valid`` (row is valid at the date). The attributes are
+    differ), ``__valid`` (row is valid at the date), ``__changed`` (to be closed
+    and reopened) and ``__corrected`` (to be replaced in place). Attributes are
     compared by the text under the fingerprint, which saves hashing both sides.
     """
-    source_side = source.select(
-        [F.col(c).alias(f"__s_{c}") for c in source.columns] + [F.lit(True).alias("__present")]
+    at = instant_sql(as_of)
+    snapshot = source.selectExpr(
+        *[f"{quoted(c)} AS {_s(c)}" for c in source.columns], "true AS __snapshot"
     )
-    target_side = target.where(_reachable(spec, at)).withColumn("__valid", _valid_at(spec, at))
-    on = _all([target_side[k] == source_side[f"__s_{k}"] for k in spec.business_key])
-    attributes = spec.attributes(target)
-    joined = target_side.join(source_side, on, "left")
-    present = F.coalesce(F.col("__present"), F.lit(False))
-    differs = row_text(attributes, spec.safe_fingerprint) != row_text(
-        [f"__s_{c}" for c in attributes], spec.safe_fingerprint
+    history = target.where(_reachable(spec, at))
+    on = [history[k] == snapshot[f"__s_{k}"] for k in spec.business_key]
+    names = spec.attributes(target)
+    text = row_text_sql([quoted(c) for c in names], spec.safe_fingerprint)
+    other = row_text_sql([_s(c) for c in names], spec.safe_fingerprint)
+    carried = [quoted(c) for c in target.columns] + [_s(c) for c in source.columns]
+    pairs = history.join(snapshot, on, "left").selectExpr(
+        *carried,
+        "__snapshot IS NOT NULL AS __present",
+        f"__snapshot IS NOT NULL AND {text} <> {other} AS __differs",
+        f"{_valid_at(spec, at)} AS __valid",
+    )
+    hit = "__differs AND __valid"
+    return pairs.selectExpr(
+        "*",
+        f"{hit} AND NOT {_starts_at(spec, at)} AS __changed",
+        f"{hit} AND {_starts_at(spec, at)} AS __corrected",
     )
-    return joined.withColumn("__present", present).withColumn("__differs", present & differs)
-
-
-def _starts_at(spec: Scd2Spec, at: Column) -> Column:
-    if spec.literal_intervals:
-        return F.lit(False)
-    return F.coalesce(F.col(spec.start) == at, F.lit(False))
-
-
-def _is_changed(spec: Scd2Spec, at: Column) -> Column:
-    return F.col("__differs") & F.col("__valid") & ~_starts_at(spec, at)
-
-
-def _is_corrected(spec: Scd2Spec, at: Column) -> Column:
-    return F.col("__differs") & F.col("__valid") & _starts_at(spec, at)
 
 
 def unchanged_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of) -> DataFrame:
     """History rows a merge at ``as_of`` leaves as they are."""
-    at = instant(as_of)
-    pairs = matched(source, target, spec, at).where(~F.col("__differs"))
-    rest = target.where(~_reachable(spec, at))
-    return pairs.select(target.columns).unionByName(rest)
+    kept = matched(source, target, spec, as_of).where("NOT __differs").select(target.columns)
+    return kept.unionByName(target.where(f"NOT ({_reachable(spec, instant_sql(as_of))})"))
 
 
 def changed_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of) -> DataFrame:
     """History rows that a merge at ``as_of`` closes, before they are closed."""
-    at = instant(as_of)
-    return matched(source, target, spec, at).where(_is_changed(spec, at)).select(target.columns)
-
+    return matched(source, target, spec, as_of).where("__changed").select(target.columns)
 
-def _as_target(column: Column, schema: StructType, name: str) -> Column:
-    return column.cast(schema[name].dataType).alias(name)
 
+class Scd2Result:
+    """Frames of one merge; each is planned when first asked for, and lazy.
 
-def _next_version(spec: Scd2Spec) -> Column:
-    return F.coalesce(F.col(spec.version) + 1, F.lit(1))
-
-
-def _merged_pairs(
-    pairs: DataFrame, target: DataFrame, spec: Scd2Spec, at: Column, stamp: Column
-) -> DataFrame:
-    """One output row per kept or corrected history row, two per changed one."""
-    schema = target.schema
-    changed, corrected = _is_changed(spec, at), _is_corrected(spec, at)
-    if spec.literal_intervals:
-        pairs = pairs.where(~F.col("__differs") | F.col("__valid"))
-    sides = F.when(changed, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    rows = (
-        pairs.withColumn("__changed", changed)
-        .withColumn("__corrected", corrected)
-        .withColumn("__reopened", F.explode(sides))
-    )
-    reopened, from_source = F.col("__reopened"), F.col("__reopened") | F.col("__corrected")
-    closing = F.col("__changed") & ~reopened
-    values = {
-        spec.start: F.when(reopened, at).otherwise(F.col(spec.start)),
-        spec.end: F.when(closing, at)
-        .when(reopened, _reopened_end(spec))
-        .otherwise(F.col(spec.end)),
-        spec.processed: F.when(F.col("__changed") | F.col("__corrected"), stamp).otherwise(
-            F.col(spec.processed)
-        ),
-        spec.surrogate_key: F.col(spec.surrogate_key),
-    }
-    if spec.version:
-        values[spec.version] = F.when(reopened, _next_version(spec)).otherwise(F.col(spec.version))
-    for name in spec.attributes(target):
-        new = F.col(f"__s_{name}").cast(schema[name].dataType)
-        values[name] = F.when(from_source, new).otherwise(F.col(name))
-    return rows.select([_as_target(values[c], schema, c) for c in target.columns])
-
-
-def _reopened_end(spec: Scd2Spec) -> Column:
-    """A late row ends where the row it cuts ended, so later history stays intact."""
-    far = instant(spec.open_end)
-    return far if spec.literal_intervals else F.coalesce(F.col(spec.end), far)
-
+    ``full`` is the new content of the dimension. ``insert`` holds the rows to
+    add, with any further source columns; ``close`` the rows whose interval was
+    ended; ``corrected`` the rows that started on the same date and were replaced
+    in place; ``rejected`` the source rows without a complete business key.
+    """
 
-def _rest(
-    pairs: DataFrame, target: DataFrame, spec: Scd2Spec, at: Column
-) -> DataFrame:
-    """History rows that never meet the snapshot.
+    def __init__(
+        self,
+        source: DataFrame,
+        target: DataFrame,
+        spec: Scd2Spec,
+        as_of: str | date | datetime,
+        processed: Column,
+        key_method: str,
+    ):
+        self._target, self._spec, self._schema = target, spec, target.schema
+        self._at = instant_sql(as_of)
+        self._as_of, self._processed, self._key_method = as_of, processed, key_method
+        self._all = source
+        complete = _complete(spec.business_key)
+        self._source = source if spec.literal_intervals else source.where(complete)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        if self._spec.literal_intervals:
+            return self._all.where("false")
+        return self._all.where(f"NOT ({_complete(self._spec.business_key)})")
+
+    @cached_property
+    def _pairs(self) -> DataFrame:
+        pairs = matched(self._source, self._target, self._spec, self._as_of)
+        return pairs.withColumn("__stamp", self._processed)
+
+    @cached_property
+    def _fresh(self) -> DataFrame:
+        """New entities with surrogate and technical columns, in source columns."""
+        spec, schema = self._spec, self._schema
+        unseen = new_rows(self._source, self._target, spec)
+        seed = max_key(self._target, spec.surrogate_key, spec.first_key - 1).scalar()
+        numbered = assign_surrogate_keys(
+            unseen, spec.business_key, spec.surrogate_key, seed, self._key_method
+        ).withColumn("__stamp", self._processed)
+        technical = {
+            spec.surrogate_key: quoted(spec.surrogate_key),
+            spec.start: self._at,
+            spec.end: instant_sql(spec.open_end),
+            spec.processed: "__stamp",
+        }
+        if spec.version:
+            technical[spec.version] = "1"
+        return numbered.selectExpr(
+            *[quoted(c) for c in self._source.columns],
+            *[_typed(value, c, schema) for c, value in technical.items()],
+        )
 
-    Only a late snapshot has rows after its date; if versions are numbered, those
-    of a key that got a row in between move up by one.
-    """
-    rest = target.where(~_reachable(spec, at))
-    if not spec.version or spec.literal_intervals:
-        return rest
-    later = F.coalesce(F.col(spec.start) > at, F.lit(False))
-    touched = pairs.where(_is_changed(spec, at)).select(
-        [F.col(k).alias(f"__k_{k}") for k in spec.business_key]
-    )
-    after = rest.where(later)
-    on = _all([after[k] == touched[f"__k_{k}"] for k in spec.business_key])
-    moved = after.join(touched, on, "left")
-    first = F.col(f"__k_{spec.business_key[0]}")
-    version = F.when(first.isNotNull(), _next_version(spec)).otherwise(F.col(spec.version))
-    moved = moved.select(
-        [
-            _as_target(version, target.schema, c) if c == spec.version else F.col(c)
-            for c in target.columns
-        ]
-    )
-    return rest.where(~later).unionByName(moved)
+    @cached_property
+    def _rest(self) -> DataFrame:
+        """History rows that never meet the snapshot.
+
+        Only a late snapshot has rows after its date; if versions are numbered,
+        those of a key that got a row in between move up by one.
+        """
+        spec, target = self._spec, self._target
+        rest = target.where(f"NOT ({_reachable(spec, self._at)})")
+        if not spec.version or spec.literal_intervals:
+            return rest
+        later = f"COALESCE({quoted(spec.start)} > {self._at}, false)"
+        touched = self._pairs.where("__changed").selectExpr(
+            *[f"{quoted(k)} AS {quoted('__k_' + k)}" for k in spec.business_key],
+            "1 AS __shift",
+        )
+        after = rest.where(later)
+        on = [after[k] == touched[f"__k_{k}"] for k in spec.business_key]
+        version = f"CASE WHEN __shift = 1 THEN {_next_version(spec)} ELSE {quoted(spec.version)} END"
+        moved = after.join(touched, on, "left").selectExpr(
+            *[
+                _typed(version, c, self._schema) if c == spec.version else quoted(c)
+                for c in target.columns
+            ]
+        )
+        return rest.where(f"NOT {later}").unionByName(moved)
+
+    def _from_source(self, name: str) -> str:
+        """Snapshot value in the type of the target."""
+        if _same_type(self._source.schema, self._schema, name):
+            return _s(name)
+        return f"CAST({_s(name)} AS {self._schema[name].dataType.simpleString()})"
+
+    @cached_property
+    def full(self) -> DataFrame:
+        spec, target, schema = self._spec, self._target, self._schema
+        pairs = self._pairs
+        if spec.literal_intervals:
+            pairs = pairs.where("NOT __differs OR __valid")
+        # one output row per kept or corrected history row, two per changed one
+        rows = pairs.selectExpr(
+            "*", "explode(IF(__changed, array(false, true), array(false))) AS __reopened"
+        )
+        start, end = quoted(spec.start), quoted(spec.end)
+        values = {
+            spec.start: f"IF(__reopened, {self._at}, {start})",
+            spec.end: f"CASE WHEN __reopened THEN {_reopened_end(spec)} "
+            f"WHEN __changed THEN {self._at} ELSE {end} END",
+            spec.processed: f"IF(__changed OR __corrected, __stamp, {quoted(spec.processed)})",
+        }
+        if spec.version:
+            values[spec.version] = f"IF(__reopened, {_next_version(spec)}, {quoted(spec.version)})"
+        for c in spec.attributes(target):
+            values[c] = f"IF(__reopened OR __corrected, {self._from_source(c)}, {quoted(c)})"
+        merged = rows.selectExpr(
+            *[_typed(values.get(c, quoted(c)), c, schema) for c in target.columns]
+        )
+        fresh = self._fresh.selectExpr(*[_typed(quoted(c), c, schema) for c in target.columns])
+        return merged.unionByName(fresh).unionByName(self._rest)
+
+    @cached_property
+    def insert(self) -> DataFrame:
+        spec, source = self._spec, self._source
+        reopened = {
+            spec.surrogate_key: quoted(spec.surrogate_key),
+            spec.start: self._at,
+            spec.end: _reopened_end(spec),
+            spec.processed: "__stamp",
+        }
+        if spec.version:
+            reopened[spec.version] = _next_version(spec)
+        changed = self._pairs.where("__changed").selectExpr(
+            *[f"{_s(c)} AS {quoted(c)}" for c in source.columns],
+            *[_typed(value, c, self._schema) for c, value in reopened.items()],
+        )
+        return self._fresh.unionByName(changed)
+
+    @cached_property
+    def close(self) -> DataFrame:
+        spec = self._spec
+        return self._rewritten("__changed", {spec.end: self._at, spec.processed: "__stamp"})
+
+    @cached_property
+    def corrected(self) -> DataFrame:
+        values = {c: self._from_source(c) for c in self._spec.attributes(self._target)}
+        return self._rewritten("__corrected", values | {self._spec.processed: "__stamp"})
+
+    def _rewritten(self, flag: str, values: Mapping[str, str]) -> DataFrame:
+        columns = self._target.columns
+        return self._pairs.where(flag).selectExpr(
+            *[_typed(values.get(c, quoted(c)), c, self._schema) for c in columns]
+        )
 
 
 def scd2_merge(
@@ -294,62 +374,8 @@ def scd2_merge(
     stamps the rows written, by default with midnight of the run day.
     """
     check_columns(source, target, spec)
-    at = instant(as_of)
     stamp = run_day_midnight() if processed is None else processed
-    complete, incomplete = _with_complete_key(source, spec)
-    if spec.literal_intervals:
-        complete, rejected = source, incomplete.where(F.lit(False))
-    else:
-        rejected = incomplete
-
-    pairs = matched(complete, target, spec, at)
-    rest = _rest(pairs, target, spec, at)
-
-    seed = max_key(target, spec.surrogate_key, spec.first_key - 1).scalar()
-    schema = target.schema
-    fresh = assign_surrogate_keys(
-        new_rows(complete, target, spec), spec.business_key, spec.surrogate_key, seed, key_method
-    )
-    technical = {
-        spec.surrogate_key: F.col(spec.surrogate_key),
-        spec.start: at,
-        spec.end: instant(spec.open_end),
-        spec.processed: stamp,
-    }
-    if spec.version:
-        technical[spec.version] = F.lit(1)
-    fresh = fresh.withColumns({c: v.cast(schema[c].dataType) for c, v in technical.items()})
-
-    full = (
-        _merged_pairs(pairs, target, spec, at, stamp)
-        .unionByName(fresh.select([_as_target(F.col(c), schema, c) for c in target.columns]))
-        .unionByName(rest)
-    )
-
-    changed = pairs.where(_is_changed(spec, at))
-    reopened = {
-        spec.surrogate_key: F.col(spec.surrogate_key),
-        spec.start: at,
-        spec.end: _reopened_end(spec),
-        spec.processed: stamp,
-    }
-    if spec.version:
-        reopened[spec.version] = _next_version(spec)
-    insert = fresh.unionByName(
-        changed.select(
-            [F.col(f"__s_{c}").alias(c) for c in source.columns]
-            + [_as_target(v, schema, c) for c, v in reopened.items()]
-        )
-    )
-    closing = {spec.end: at, spec.processed: stamp}
-    close = changed.select(
-        [_as_target(closing.get(c, F.col(c)), schema, c) for c in target.columns]
-    )
-    replacing = {c: F.col(f"__s_{c}") for c in spec.attributes(target)} | {spec.processed: stamp}
-    corrected = pairs.where(_is_corrected(spec, at)).select(
-        [_as_target(replacing.get(c, F.col(c)), schema, c) for c in target.columns]
-    )
-    return Scd2Result(full, insert, close, corrected, rejected)
+    return Scd2Result(source, target, spec, as_of, stamp, key_method)
 
 
 def in_key_order(df: DataFrame, spec: Scd2Spec) -> DataFrame:

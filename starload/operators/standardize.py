@@ -12,7 +12,8 @@ from starload.functions.dates import us_date
 US_DATE = "us_date"
 
 
-def _typed(column: Column, kind: str, tolerant: bool) -> Column:
+def _typed(name: str, kind: str, tolerant: bool) -> Column:
+    column = F.col(name)
     if kind == US_DATE:
         parsed = us_date(column)
         if tolerant:
@@ -27,7 +28,7 @@ def retype(df: DataFrame, types: Mapping[str, str], tolerant: bool = True) -> Da
 
     A value that cannot be converted becomes null when ``tolerant``, else raises.
     """
-    return df.withColumns({c: _typed(F.col(c), kind, tolerant) for c, kind in types.items()})
+    return df.withColumns({c: _typed(c, kind, tolerant) for c, kind in types.items()})
 
 
 def standardize(

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starload.functions.names import quoted
+
 # The columns of every table, in order.
 _TEXT_TABLES = {
     ("ods", "customer"): (
@@ -98,8 +99,10 @@ def schema_of(layer: str, name: str) -> StructType:
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     """Frame without rows that the optimizer knows to be empty."""
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return spark.range(1).where(F.lit(False)).select(columns)
+    columns = [
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema.fields
+    ]
+    return spark.range(1).where("false").selectExpr(*columns)
 
 
 def empty_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -126,11 +129,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """
     require_columns(df, schema.names)
     current = {field.name: field.dataType for field in df.schema.fields}
-    return df.select(
-        [
-            F.col(f.name)
+    return df.selectExpr(
+        *[
+            quoted(f.name)
             if current[f.name] == f.dataType
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            else f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
             for f in schema.fields
         ]
     )

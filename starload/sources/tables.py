@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starload.functions.names import quoted
 from starload.schemas import conform, empty_frame
 
 VERSION_PREFIX = "version-"
@@ -26,7 +26,9 @@ def read_table(
 
 def map_columns(df: DataFrame, mapping: Mapping[str, str], schema: StructType) -> DataFrame:
     """Project ``{source: destination}`` pairs; unmapped columns are dropped."""
-    return conform(df.select([F.col(s).alias(d) for s, d in mapping.items()]), schema)
+    return conform(
+        df.selectExpr(*[f"{quoted(s)} AS {quoted(d)}" for s, d in mapping.items()]), schema
+    )
 
 
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet") -> None:

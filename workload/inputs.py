@@ -48,10 +48,9 @@ def in_period(column: str, lo: str | None, hi: str | None) -> Column:
     return inside
 
 
-def money(column: Column | str) -> Column:
+def money(value: str) -> str:
     """Amount as text with two decimals; a double prints differently per engine."""
-    column = F.col(column) if isinstance(column, str) else column
-    return column.cast("decimal(18,2)").cast("string")
+    return f"CAST(CAST({value} AS DECIMAL(18,2)) AS STRING)"
 
 
 def orders_in(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
@@ -60,28 +59,22 @@ def orders_in(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
 
 def last_orders(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
     """Per customer the last order of a period and the number of orders in it."""
-    last = F.max(
-        F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    ).alias("last")
-    per_customer = orders_in(t, lo, hi).groupBy("o_custkey").agg(last, F.count("*").alias("n_orders"))
-    return per_customer.select(
-        "o_custkey",
-        "n_orders",
-        F.col("last.o_orderpriority").alias("priority"),
-        F.col("last.o_orderstatus").alias("status"),
+    last = F.expr("max(struct(o_orderdate, o_orderkey, o_orderpriority, o_orderstatus)) AS last")
+    per_customer = orders_in(t, lo, hi).groupBy("o_custkey").agg(last, F.expr("count(*) AS n_orders"))
+    return per_customer.selectExpr(
+        "o_custkey", "n_orders", "last.o_orderpriority AS priority", "last.o_orderstatus AS status"
     )
 
 
 def customer_snapshot(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
     """Typed snapshot: customers with an order in the period."""
-    return t.customer.join(
-        last_orders(t, lo, hi), F.col("c_custkey") == F.col("o_custkey")
-    ).select(
-        F.col("c_custkey").cast("int").alias("CustomerId"),
-        F.col("c_name").alias("customer_nm"),
-        F.col("c_mktsegment").alias("segment_nm"),
-        F.col("c_nationkey").alias("nation_no"),
-        F.col("priority").alias("priority_cd"),
+    joined = t.customer.join(last_orders(t, lo, hi), F.col("c_custkey") == F.col("o_custkey"))
+    return joined.selectExpr(
+        "CAST(c_custkey AS INT) AS CustomerId",
+        "c_name AS customer_nm",
+        "c_mktsegment AS segment_nm",
+        "c_nationkey AS nation_no",
+        "priority AS priority_cd",
     )
 
 
@@ -108,99 +101,97 @@ def raw_sales(t: Tables, lo: str | None = None, hi: str | None = None) -> DataFr
         t.lineitem.join(orders_in(t, lo, hi), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     )
-    return sales.select(
-        F.date_format("o_orderdate", "M/d/yyyy").alias("OrderDate"),
-        F.date_format("l_shipdate", "M/d/yyyy").alias("StockDate"),
-        F.concat(F.lit("SO"), F.col("o_orderkey").cast("string")).alias("OrderNumber"),
-        F.col("l_partkey").cast("string").alias("ProductKey"),
-        F.col("o_custkey").cast("string").alias("CustomerKey"),
-        F.col("c_nationkey").cast("string").alias("TerritoryKey"),
-        F.col("l_linenumber").cast("string").alias("OrderLineItem"),
-        money("l_quantity").alias("OrderQuantity"),
+    return sales.selectExpr(
+        "date_format(o_orderdate, 'M/d/yyyy') AS OrderDate",
+        "date_format(l_shipdate, 'M/d/yyyy') AS StockDate",
+        "concat('SO', o_orderkey) AS OrderNumber",
+        "CAST(l_partkey AS STRING) AS ProductKey",
+        "CAST(o_custkey AS STRING) AS CustomerKey",
+        "CAST(c_nationkey AS STRING) AS TerritoryKey",
+        "CAST(l_linenumber AS STRING) AS OrderLineItem",
+        f"{money('l_quantity')} AS OrderQuantity",
     )
 
 
 def raw_customer(t: Tables, lo: str | None = None, hi: str | None = None) -> DataFrame:
     joined = t.customer.join(last_orders(t, lo, hi), F.col("c_custkey") == F.col("o_custkey"))
-    none = F.lit(None).cast("string")
-    return joined.select(
-        F.col("c_custkey").cast("string").alias("CustomerKey"),
-        none.alias("Prefix"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("FirstName"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("LastName"),
-        none.alias("BirthDate"),
-        F.col("status").alias("MaritalStatus"),
-        none.alias("Gender"),
-        F.concat(F.lit('"'), "c_name", F.lit('", <'), F.lower("c_mktsegment"), F.lit("@example.org>"))
-        .alias("EmailAddress"),
-        money("c_acctbal").alias("AnnualIncome"),
-        F.col("n_orders").cast("string").alias("TotalChildren"),
-        F.col("priority").alias("EducationLevel"),
-        F.col("c_mktsegment").alias("Occupation"),
-        none.alias("HomeOwner"),
+    return joined.selectExpr(
+        "CAST(c_custkey AS STRING) AS CustomerKey",
+        "CAST(NULL AS STRING) AS Prefix",
+        "split_part(c_name, '#', 1) AS FirstName",
+        "split_part(c_name, '#', 2) AS LastName",
+        "CAST(NULL AS STRING) AS BirthDate",
+        "status AS MaritalStatus",
+        "CAST(NULL AS STRING) AS Gender",
+        """concat('"', c_name, '", <', lower(c_mktsegment), '@example.org>') AS EmailAddress""",
+        f"{money('c_acctbal')} AS AnnualIncome",
+        "CAST(n_orders AS STRING) AS TotalChildren",
+        "priority AS EducationLevel",
+        "c_mktsegment AS Occupation",
+        "CAST(NULL AS STRING) AS HomeOwner",
     )
 
 
-def brand_no(column: str = "p_brand") -> Column:
-    return F.split_part(column, F.lit("#"), F.lit(2))
+BRAND_NO = "split_part(p_brand, '#', 2)"
+FAMILY_NO = f"substring({BRAND_NO}, 1, 1)"
 
 
 def raw_product(t: Tables, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    top = F.max(F.expr("CAST(l_extendedprice AS DECIMAL(18,2))")).alias("top_price")
     cost = (
         t.lineitem.join(orders_in(t, lo, hi), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
         .groupBy("l_partkey")
-        .agg(F.max(F.col("l_extendedprice").cast("decimal(18,2)")).alias("top_price"))
+        .agg(top)
     )
-    return t.part.join(cost, F.col("p_partkey") == F.col("l_partkey")).select(
-        F.col("p_partkey").cast("string").alias("ProductKey"),
-        brand_no().alias("ProductSubcategoryKey"),
-        F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("ProductSKU"),
-        F.col("p_name").alias("ProductName"),
-        F.col("p_type").alias("ModelName"),
-        F.concat_ws(", ", "p_name", "p_type").alias("ProductDescription"),
-        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("ProductColor"),
-        F.col("p_size").cast("string").alias("ProductSize"),
-        F.lit(None).cast("string").alias("ProductStyle"),
-        F.col("top_price").cast("string").alias("ProductCost"),
-        money("p_retailprice").alias("ProductPrice"),
+    return t.part.join(cost, F.col("p_partkey") == F.col("l_partkey")).selectExpr(
+        "CAST(p_partkey AS STRING) AS ProductKey",
+        f"{BRAND_NO} AS ProductSubcategoryKey",
+        "concat('SKU-', p_partkey) AS ProductSKU",
+        "p_name AS ProductName",
+        "p_type AS ModelName",
+        "concat_ws(', ', p_name, p_type) AS ProductDescription",
+        "split_part(p_name, ' ', 1) AS ProductColor",
+        "CAST(p_size AS STRING) AS ProductSize",
+        "CAST(NULL AS STRING) AS ProductStyle",
+        "CAST(top_price AS STRING) AS ProductCost",
+        f"{money('p_retailprice')} AS ProductPrice",
     )
 
 
 def raw_subcategory(t: Tables) -> DataFrame:
-    return t.part.select(
-        brand_no().alias("ProductSubcategoryKey"),
-        F.col("p_brand").alias("SubcategoryName"),
-        F.substring(brand_no(), 1, 1).alias("ProductCategoryKey"),
+    return t.part.selectExpr(
+        f"{BRAND_NO} AS ProductSubcategoryKey",
+        "p_brand AS SubcategoryName",
+        f"{FAMILY_NO} AS ProductCategoryKey",
     ).distinct()
 
 
 def raw_category(t: Tables) -> DataFrame:
     """Brand families with more than one brand; the other brands find no category."""
-    family = F.substring(brand_no(), 1, 1)
     return (
-        t.part.groupBy(family.alias("ProductCategoryKey"))
+        t.part.groupBy(F.expr(FAMILY_NO).alias("ProductCategoryKey"))
         .agg(F.countDistinct("p_brand").alias("n"))
         .where("n > 1")
-        .select("ProductCategoryKey", F.concat(F.lit("Family "), "ProductCategoryKey").alias("CategoryName"))
+        .selectExpr("ProductCategoryKey", "concat('Family ', ProductCategoryKey) AS CategoryName")
     )
 
 
 def raw_territory(t: Tables) -> DataFrame:
     nation = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return nation.select(
-        F.col("n_nationkey").cast("string").alias("SalesTerritoryKey"),
-        F.col("n_name").alias("Region"),
-        F.col("n_name").alias("Country"),
-        F.col("r_name").alias("Continent"),
+    return nation.selectExpr(
+        "CAST(n_nationkey AS STRING) AS SalesTerritoryKey",
+        "n_name AS Region",
+        "n_name AS Country",
+        "r_name AS Continent",
     )
 
 
-def feeds_of(t: Tables, lo: str | None, hi: str | None) -> dict[str, DataFrame]:
-    return {
-        "customer": raw_customer(t, lo, hi),
-        "product": raw_product(t, lo, hi),
-        "product_subcategory": raw_subcategory(t),
-        "product_category": raw_category(t),
-        "territory": raw_territory(t),
-        "sales": raw_sales(t, lo, hi),
-    }
+def raw_feed(t: Tables, feed: str, lo: str | None, hi: str | None) -> DataFrame:
+    """Raw feed of one period."""
+    if feed == "product_subcategory":
+        return raw_subcategory(t)
+    if feed == "product_category":
+        return raw_category(t)
+    if feed == "territory":
+        return raw_territory(t)
+    return {"customer": raw_customer, "product": raw_product, "sales": raw_sales}[feed](t, lo, hi)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from starload.plans.jobs import (
 )
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import columns, empty_frame, empty_table, schema_of
-from starload.sources.csv_feed import read_csv, read_slices, write_csv, write_feed, write_slices
+from starload.sources.csv_feed import FEED_STEMS, read_csv, read_slices, write_csv, write_feed, write_slices
 from starload.sources.scratch import materialize, scratch_path
 from starload.sources.tables import (
     append_table,
@@ -50,7 +52,7 @@ from workload.inputs import (
     PERIODS,
     Tables,
     customer_snapshot,
-    feeds_of,
+    raw_feed,
     in_period,
     money,
     pair_snapshot,
@@ -214,7 +216,7 @@ def locale_date_parse(t: Tables) -> DataFrame:
 
 @query
 def money_to_decimal0(t: Tables) -> DataFrame:
-    text = t.part.select("p_partkey", money("p_retailprice").alias("price"))
+    text = t.part.selectExpr("p_partkey", f"{money('p_retailprice')} AS price")
     typed = retype(text, {"price": "double"})
     return typed.select("p_partkey", F.col("price").cast("decimal(18,0)").alias("price"))
 
@@ -465,10 +467,13 @@ def _warehouse(t: Tables, feeds: tuple[str, ...]) -> Warehouse:
     """Empty warehouse with the raw feeds of all periods dropped as CSV."""
     root = scratch_path(t.spark, "warehouse")
     wh = Warehouse(t.spark, root, f"{root}/raw")
-    for name, lo, hi in PERIODS:
-        of_period = feeds_of(t, lo, hi)
-        for feed in feeds:
-            write_feed(of_period[feed], wh.raw_root, feed, name)
+    drops = [(feed, *period) for feed in feeds for period in PERIODS]
+
+    def drop(feed: str, name: str, lo: str | None, hi: str | None) -> None:
+        write_feed(raw_feed(t, feed, lo, hi), wh.raw_root, feed, name)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(inheritable_thread_target(t.spark)(lambda d: drop(*d)), drops))
     return wh
 
 
@@ -499,7 +504,7 @@ def dimension_load_territory(t: Tables) -> DataFrame:
 @query
 def monthly_load(t: Tables) -> DataFrame:
     """Raw feeds to facts with surrogate keys, load after load."""
-    wh = _warehouse(t, tuple(feeds_of(t, None, None)))
+    wh = _warehouse(t, tuple(FEED_STEMS))
     for name, _, _ in PERIODS:
         run_month(wh, name, stamp(), stamp())
     return wh.table("dwh", "sales")
