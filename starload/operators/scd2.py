@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 from starload.functions.dates import OPEN_END, instant_sql, run_day_midnight
 from starload.functions.fingerprint import row_text_sql
 from starload.functions.names import quoted
+from starload.functions.sizing import broadcast_if_bounded
 from starload.operators.keys import EMPTY_SEED, assign_surrogate_keys, max_key
 from starload.schemas import require_columns
 
@@ -159,7 +160,11 @@ def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def matched(
-    source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of: str | date | datetime
+    source: DataFrame,
+    target: DataFrame,
+    spec: Scd2Spec,
+    as_of: str | date | datetime,
+    broadcast_limit: int = 0,
 ) -> DataFrame:
     """History rows that meet the snapshot, with their snapshot row and the verdict.
 
@@ -168,11 +173,14 @@ def matched(
     differ), ``__valid`` (row is valid at the date), ``__changed`` (to be closed
     and reopened) and ``__corrected`` (to be replaced in place). Attributes are
     compared by the text under the fingerprint, which saves hashing both sides.
+    A snapshot measured to be under ``broadcast_limit`` bytes is broadcast, so that
+    the history is not shuffled.
     """
     at = instant_sql(as_of)
     snapshot = source.selectExpr(
         *[f"{quoted(c)} AS {_s(c)}" for c in source.columns], "true AS __snapshot"
     )
+    snapshot = broadcast_if_bounded(snapshot, broadcast_limit)
     history = target.where(_reachable(spec, at))
     on = [history[k] == snapshot[f"__s_{k}"] for k in spec.business_key]
     names = spec.attributes(target)
@@ -221,10 +229,12 @@ class Scd2Result:
         as_of: str | date | datetime,
         processed: Column,
         key_method: str,
+        broadcast_limit: int,
     ):
         self._target, self._spec, self._schema = target, spec, target.schema
         self._at = instant_sql(as_of)
         self._as_of, self._processed, self._key_method = as_of, processed, key_method
+        self._broadcast_limit = broadcast_limit
         self._all = source
         complete = _complete(spec.business_key)
         self._source = source if spec.literal_intervals else source.where(complete)
@@ -237,7 +247,9 @@ class Scd2Result:
 
     @cached_property
     def _pairs(self) -> DataFrame:
-        pairs = matched(self._source, self._target, self._spec, self._as_of)
+        pairs = matched(
+            self._source, self._target, self._spec, self._as_of, self._broadcast_limit
+        )
         return pairs.withColumn("__stamp", self._processed)
 
     @cached_property
@@ -274,11 +286,13 @@ class Scd2Result:
         if not spec.version or spec.literal_intervals:
             return rest
         later = f"COALESCE({quoted(spec.start)} > {self._at}, false)"
+        after = rest.where(later)
+        if after.isEmpty():  # the scan skips files by their start; most loads end here
+            return rest
         touched = self._pairs.where("__changed").selectExpr(
             *[f"{quoted(k)} AS {quoted('__k_' + k)}" for k in spec.business_key],
             "1 AS __shift",
         )
-        after = rest.where(later)
         on = [after[k] == touched[f"__k_{k}"] for k in spec.business_key]
         version = f"CASE WHEN __shift = 1 THEN {_next_version(spec)} ELSE {quoted(spec.version)} END"
         moved = after.join(touched, on, "left").selectExpr(
@@ -363,6 +377,7 @@ def scd2_merge(
     as_of: str | date | datetime,
     processed: Column | None = None,
     key_method: str = "auto",
+    broadcast_limit: int = 0,
 ) -> Scd2Result:
     """Merge snapshot ``source``, taken at ``as_of``, into the history ``target``.
 
@@ -372,10 +387,15 @@ def scd2_merge(
     already starts at ``as_of`` is corrected in place, which makes a repeated load
     a no-op. Entities absent from the snapshot stay as they are. ``processed``
     stamps the rows written, by default with midnight of the run day.
+
+    Both inputs should be stored tables: the target is scanned for the rows valid
+    at the date, for the rest, for its keys and for its highest surrogate key, each
+    time with the filter or the columns pushed down. With ``broadcast_limit`` the
+    snapshot is measured, and broadcast if it is smaller.
     """
     check_columns(source, target, spec)
     stamp = run_day_midnight() if processed is None else processed
-    return Scd2Result(source, target, spec, as_of, stamp, key_method)
+    return Scd2Result(source, target, spec, as_of, stamp, key_method, broadcast_limit)
 
 
 def in_key_order(df: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starload.functions.dates import parse_as_of
+from starload.functions.sizing import BROADCAST_LIMIT_BYTES
 from starload.operators.facts import with_load_stamp
 from starload.operators.scd2 import (
     Scd2Spec,
@@ -22,7 +24,7 @@ from starload.operators.scd2 import (
 )
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import schema_of
-from starload.sources.csv_feed import read_feed
+from starload.sources.csv_feed import read_feed, write_slices
 from starload.sources.tables import (
     publish,
     read_current,
@@ -122,7 +124,9 @@ def load_dimension(
         raise ValueError(f"{found.duplicate_keys} keys occur more than once in stg.{name}")
     if found.duplicate_keys and duplicates == "drop":
         source = drop_duplicate_keys(source, spec.business_key)
-    merged = scd2_merge(source, wh.dimension(name), spec, as_of, processed)
+    merged = scd2_merge(
+        source, wh.dimension(name), spec, as_of, processed, broadcast_limit=BROADCAST_LIMIT_BYTES
+    )
     full = in_key_order(merged.full, spec) if ordered else merged.full
     publish(full, wh.path("dwh", f"{name}_dim"))
     if found.incomplete_rows:
@@ -130,55 +134,88 @@ def load_dimension(
     return wh.dimension(name)
 
 
-def load_customer(wh: Warehouse, as_of, processed: Column | None = None) -> DataFrame:
-    load_staging(wh, "customer", stage_customer(load_raw(wh, "customer", as_of)))
-    return load_dimension(wh, "customer", as_of, processed)
+def _together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
+    """Run independent loads side by side, so that small ones fill idle executors."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        run = inheritable_thread_target(spark)(lambda task: task())
+        return list(pool.map(run, tasks))
 
 
-def load_product(wh: Warehouse, as_of, processed: Column | None = None) -> DataFrame:
-    for name in ("product_subcategory", "product_category"):
-        # typed copies of the hierarchy are declared but hold no rows
-        truncate_table(wh.spark, wh.path("stg", name), schema_of("stg", name))
-    feeds = [load_raw(wh, f, as_of) for f in ("product", "product_subcategory", "product_category")]
-    load_staging(wh, "product", stage_product(*feeds))
-    return load_dimension(wh, "product", as_of, processed)
+def stage_feed(wh: Warehouse, name: str) -> DataFrame:
+    """Typed staging table of a dimension from its raw tables."""
+    if name == "product":
+        hierarchy = ("product_subcategory", "product_category")
+        for level in hierarchy:
+            # typed copies of the hierarchy are declared but hold no rows
+            truncate_table(wh.spark, wh.path("stg", level), schema_of("stg", level))
+        staged = stage_product(*[wh.table("ods", n) for n in (name, *hierarchy)])
+    elif name == "customer":
+        staged = stage_customer(wh.table("ods", name))
+    else:
+        staged = stage_territory(wh.table("ods", name))
+    return load_staging(wh, name, staged)
+
 
+# The raw feeds behind each load.
+FEEDS = {
+    "customer": ("customer",),
+    "product": ("product", "product_subcategory", "product_category"),
+    "territory": ("territory",),
+    "sales": ("sales",),
+}
 
-def load_territory(wh: Warehouse, as_of, processed: Column | None = None) -> DataFrame:
-    load_staging(wh, "territory", stage_territory(load_raw(wh, "territory", as_of)))
-    return load_dimension(wh, "territory", as_of, processed)
 
+def load_feeds(wh: Warehouse, as_of: str | date | datetime, names: Sequence[str]) -> None:
+    feeds = [feed for name in names for feed in FEEDS[name]]
+    _together(wh.spark, [partial(load_raw, wh, feed, as_of) for feed in feeds])
 
-def load_sales(wh: Warehouse, as_of, now: Column | None = None) -> DataFrame:
-    """Type the sales of a month, look up their surrogates and add them to the facts.
+
+def _stage_and_merge(wh: Warehouse, name: str, as_of, processed: Column | None) -> DataFrame:
+    stage_feed(wh, name)
+    return load_dimension(wh, name, as_of, processed)
+
+
+def load_entity(wh: Warehouse, name: str, as_of, processed: Column | None = None) -> DataFrame:
+    """Raw, staging and dimension table of ``customer``, ``product`` or ``territory``."""
+    load_feeds(wh, as_of, [name])
+    return _stage_and_merge(wh, name, as_of, processed)
+
+
+def load_facts(wh: Warehouse, as_of, now: Column | None = None) -> DataFrame:
+    """Type the raw sales, look up their surrogates and add them to the facts.
 
     Facts are stored by sample date; loading a month again replaces its rows.
     """
-    raw = load_raw(wh, "sales", as_of)
     dims = [wh.dimension(name) for name in ("customer", "product", "territory")]
-    staged = load_staging(wh, "sales", stage_sales(raw, *dims))
-    stamped = with_load_stamp(staged, now)
-    replace_batch(stamped, wh.path("dwh", "sales"), BATCH, _sample_date(as_of))
+    staged = load_staging(wh, "sales", stage_sales(wh.table("ods", "sales"), *dims))
+    replace_batch(with_load_stamp(staged, now), wh.path("dwh", "sales"), BATCH, _sample_date(as_of))
     return wh.table("dwh", "sales")
 
 
+def load_sales(wh: Warehouse, as_of, now: Column | None = None) -> DataFrame:
+    load_feeds(wh, as_of, ["sales"])
+    return load_facts(wh, as_of, now)
+
+
 def run_month(
     wh: Warehouse,
     as_of: str | date | datetime,
     processed: Column | None = None,
     now: Column | None = None,
-    concurrent: bool = True,
 ) -> DataFrame:
-    """Load the three dimensions, then the facts, which need their keys.
+    """Load all feeds, then the dimensions, then the facts, which need their keys.
 
-    The dimensions do not depend on each other, so their jobs share the cluster.
+    Neither feeds nor dimensions depend on each other, so their jobs overlap.
     """
-    loads = (load_customer, load_product, load_territory)
-    if concurrent:
-        with ThreadPoolExecutor(len(loads)) as pool:
-            run = inheritable_thread_target(wh.spark)(lambda load: load(wh, as_of, processed))
-            list(pool.map(run, loads))
-    else:
-        for load in loads:
-            load(wh, as_of, processed)
-    return load_sales(wh, as_of, now)
+    load_feeds(wh, as_of, list(FEEDS))
+    _together(
+        wh.spark,
+        [partial(_stage_and_merge, wh, name, as_of, processed) for name in wh.dimensions],
+    )
+    return load_facts(wh, as_of, now)
+
+
+def export_months(slices: Mapping[str, DataFrame], root: str) -> None:
+    """Write the feeds of all months as CSV, one folder per feed and sample date."""
+    writes = [partial(write_slices, df, f"{root}/{feed}") for feed, df in slices.items()]
+    _together(next(iter(slices.values())).sparkSession, writes)

@@ -10,6 +10,8 @@ from starload.schemas import require_columns, schema_of
 
 # The delimited format, and the file stem of each raw feed.
 CSV_FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": "\\"}
+# the writer would trim values unless told not to
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 FEED_STEMS = {
     "customer": "Customers",
     "product": "Products",
@@ -49,7 +51,7 @@ def read_feed(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.options(**CSV_FORMAT).mode(mode).csv(path)
+    df.write.options(**CSV_FORMAT, **_KEEP_BLANKS).mode(mode).csv(path)
 
 
 def write_feed(df: DataFrame, root: str, feed: str, sample_date: str, prefix: str = "snapshot") -> None:
@@ -64,7 +66,7 @@ def write_slices(df: DataFrame, path: str, by: str = "sample_date") -> None:
     """
     (
         df.hint("rebalance", F.col(by))
-        .write.options(**CSV_FORMAT)
+        .write.options(**CSV_FORMAT, **_KEEP_BLANKS)
         .partitionBy(by)
         .mode("overwrite")
         .csv(path)

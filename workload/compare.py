@@ -73,7 +73,7 @@ def main(argv: list[str]) -> int:
         try:
             ours = QUERIES[name](spark, sf_dir).toArrow()
             took = time.perf_counter() - begin
-            theirs = connection.execute(ORACLE[name]).to_arrow_table()
+            theirs = connection.sql(ORACLE[name]).to_arrow_table()
             found = difference(ours, theirs)
         except Exception as error:  # report every query, whatever happens to one
             took, found = time.perf_counter() - begin, f"{type(error).__name__}: {str(error)[:600]}"

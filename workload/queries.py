@@ -29,14 +29,13 @@ from starload.operators.summarize import auto_summarize
 from starload.plans.jobs import (
     DIMENSIONS,
     Warehouse,
-    load_customer,
-    load_product,
-    load_territory,
+    export_months,
+    load_entity,
     run_month,
 )
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import columns, empty_frame, empty_table, schema_of
-from starload.sources.csv_feed import FEED_STEMS, read_csv, read_slices, write_csv, write_feed, write_slices
+from starload.sources.csv_feed import FEED_STEMS, read_csv, read_slices, write_csv, write_feed
 from starload.sources.scratch import materialize, scratch_path
 from starload.sources.tables import (
     append_table,
@@ -454,10 +453,10 @@ def month_slice_category(t: Tables) -> DataFrame:
 
 @query
 def month_slice_roundtrip(t: Tables) -> DataFrame:
-    """All monthly customer slices written as CSV folders and read back."""
-    path = scratch_path(t.spark, "customer_slices")
-    write_slices(_slices(t)["customer"], path)
-    return read_slices(t.spark, path, schema_of("ods", "customer"))
+    """All monthly slices written as CSV folders; those of the customers read back."""
+    path = scratch_path(t.spark, "slices")
+    export_months(_slices(t), path)
+    return read_slices(t.spark, f"{path}/customer", schema_of("ods", "customer"))
 
 
 # jobs
@@ -481,7 +480,7 @@ def _warehouse(t: Tables, feeds: tuple[str, ...]) -> Warehouse:
 def dimension_load(t: Tables) -> DataFrame:
     wh = _warehouse(t, ("customer",))
     for name, _, _ in PERIODS:
-        load_customer(wh, name, stamp())
+        load_entity(wh, "customer", name, stamp())
     return wh.dimension("customer")
 
 
@@ -489,7 +488,7 @@ def dimension_load(t: Tables) -> DataFrame:
 def dimension_load_product(t: Tables) -> DataFrame:
     wh = _warehouse(t, ("product", "product_subcategory", "product_category"))
     for name, _, _ in PERIODS:
-        load_product(wh, name, stamp())
+        load_entity(wh, "product", name, stamp())
     return wh.dimension("product")
 
 
@@ -497,7 +496,7 @@ def dimension_load_product(t: Tables) -> DataFrame:
 def dimension_load_territory(t: Tables) -> DataFrame:
     wh = _warehouse(t, ("territory",))
     for name, _, _ in PERIODS:
-        load_territory(wh, name, stamp())
+        load_entity(wh, "territory", name, stamp())
     return wh.dimension("territory")
 
 
