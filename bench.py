@@ -73,7 +73,8 @@ def cases(t: Tables) -> dict[str, Callable[[], object]]:
     pair_history = materialize(
         scd2_merge(pair_snapshot(t, *first), start, PAIR, PERIODS[0][0], stamp()).full
     )
-    sales = materialize(raw_sales(t))
+    # as many files as cores: a stored feed of any size comes in many splits
+    sales = materialize(raw_sales(t).repartition(spark.sparkContext.defaultParallelism))
     dims = [materialize(_first_dimension(t, n, *first)) for n in ("customer", "product", "territory")]
     keys = materialize(t.lineitem.select("l_partkey", "l_suppkey").distinct())
 

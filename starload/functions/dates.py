@@ -46,7 +46,7 @@ def run_day_midnight() -> Column:
 
 def us_date(text: Column) -> Column:
     """Parse ``M/d/yyyy``; text that is no such date becomes null."""
-    return F.try_to_timestamp(text, F.lit(US_DATE_FORMAT)).cast("date")
+    return F.try_to_date(text, US_DATE_FORMAT)
 
 
 def us_date_from_parts(text: Column) -> Column:

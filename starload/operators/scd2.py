@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 from starload.functions.dates import OPEN_END, instant_sql, run_day_midnight
 from starload.functions.fingerprint import row_text_sql
 from starload.functions.names import quoted
-from starload.functions.sizing import broadcast_if_bounded
+from starload.functions.sizing import broadcast_if_bounded, is_small
 from starload.operators.keys import EMPTY_SEED, assign_surrogate_keys, max_key
 from starload.schemas import require_columns
 
@@ -153,45 +153,61 @@ def _same_type(a: StructType, b: StructType, name: str) -> bool:
     return a[name].dataType == b[name].dataType
 
 
+def _renamed(source: DataFrame) -> DataFrame:
+    """Snapshot columns as ``__s_<column>``; both joins shuffle this one frame."""
+    return source.selectExpr(*[f"{quoted(c)} AS {_s(c)}" for c in source.columns])
+
+
+def _unseen(snapshot: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
+    keys = target.select(*spec.business_key)
+    if not is_small(keys):
+        # a key with a long history reaches the join once; small ones are broadcast
+        keys = keys.distinct()
+    on = [snapshot[f"__s_{k}"] == keys[k] for k in spec.business_key]
+    return snapshot.join(keys, on, "left_anti")
+
+
 def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Source rows of entities that the whole history has never seen."""
-    keys = target.select(*spec.business_key).distinct()
-    return source.join(keys, list(spec.business_key), "left_anti").select(source.columns)
+    unseen = _unseen(_renamed(source), target, spec)
+    return unseen.selectExpr(*[f"{_s(c)} AS {quoted(c)}" for c in source.columns])
 
 
-def matched(
-    source: DataFrame,
-    target: DataFrame,
-    spec: Scd2Spec,
-    as_of: str | date | datetime,
-    broadcast_limit: int = 0,
+def _attributes_differ(snapshot: StructType, target: DataFrame, spec: Scd2Spec) -> str:
+    """Whether the fingerprints of a matched pair differ, without hashing.
+
+    Equal columns have equal fingerprints, so the text under the fingerprint is
+    only built for pairs that differ in some column. Key columns of one type are
+    equal by the join.
+    """
+    names = spec.attributes(target)
+    text = row_text_sql([quoted(c) for c in names], spec.safe_fingerprint)
+    other = row_text_sql([_s(c) for c in names], spec.safe_fingerprint)
+    if any(snapshot[f"__s_{c}"].dataType != target.schema[c].dataType for c in names):
+        return f"{text} <> {other}"
+    compared = [c for c in names if c not in spec.business_key]
+    same = _and([f"{quoted(c)} <=> {_s(c)}" for c in compared]) or "true"
+    return f"NOT ({same}) AND {text} <> {other}"
+
+
+def _matched(
+    snapshot: DataFrame, target: DataFrame, spec: Scd2Spec, at: str, broadcast_limit: int = 0
 ) -> DataFrame:
     """History rows that meet the snapshot, with their snapshot row and the verdict.
 
     Columns: those of the target, the snapshot row as ``__s_<column>``, and the
-    flags ``__present`` (key is in the snapshot), ``__differs`` (attributes
-    differ), ``__valid`` (row is valid at the date), ``__changed`` (to be closed
-    and reopened) and ``__corrected`` (to be replaced in place). Attributes are
-    compared by the text under the fingerprint, which saves hashing both sides.
-    A snapshot measured to be under ``broadcast_limit`` bytes is broadcast, so that
-    the history is not shuffled.
+    flags ``__differs`` (in the snapshot with other attributes), ``__valid`` (row is
+    valid at the date), ``__changed`` (to be closed and reopened) and
+    ``__corrected`` (to be replaced in place). A snapshot measured to be under
+    ``broadcast_limit`` bytes is broadcast, so that the history is not shuffled.
     """
-    at = instant_sql(as_of)
-    snapshot = source.selectExpr(
-        *[f"{quoted(c)} AS {_s(c)}" for c in source.columns], "true AS __snapshot"
-    )
-    snapshot = broadcast_if_bounded(snapshot, broadcast_limit)
+    right = broadcast_if_bounded(snapshot, broadcast_limit)
     history = target.where(_reachable(spec, at))
-    on = [history[k] == snapshot[f"__s_{k}"] for k in spec.business_key]
-    names = spec.attributes(target)
-    text = row_text_sql([quoted(c) for c in names], spec.safe_fingerprint)
-    other = row_text_sql([_s(c) for c in names], spec.safe_fingerprint)
-    carried = [quoted(c) for c in target.columns] + [_s(c) for c in source.columns]
-    pairs = history.join(snapshot, on, "left").selectExpr(
-        *carried,
-        "__snapshot IS NOT NULL AS __present",
-        f"__snapshot IS NOT NULL AND {text} <> {other} AS __differs",
-        f"{_valid_at(spec, at)} AS __valid",
+    on = [history[k] == right[f"__s_{k}"] for k in spec.business_key]
+    present = f"{_s(spec.business_key[0])} IS NOT NULL"
+    differs = _attributes_differ(snapshot.schema, target, spec)
+    pairs = history.join(right, on, "left").selectExpr(
+        "*", f"{present} AND {differs} AS __differs", f"{_valid_at(spec, at)} AS __valid"
     )
     hit = "__differs AND __valid"
     return pairs.selectExpr(
@@ -203,13 +219,15 @@ def matched(
 
 def unchanged_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of) -> DataFrame:
     """History rows a merge at ``as_of`` leaves as they are."""
-    kept = matched(source, target, spec, as_of).where("NOT __differs").select(target.columns)
-    return kept.unionByName(target.where(f"NOT ({_reachable(spec, instant_sql(as_of))})"))
+    at = instant_sql(as_of)
+    kept = _matched(_renamed(source), target, spec, at).where("NOT __differs")
+    return kept.select(target.columns).unionByName(target.where(f"NOT ({_reachable(spec, at)})"))
 
 
 def changed_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec, as_of) -> DataFrame:
     """History rows that a merge at ``as_of`` closes, before they are closed."""
-    return matched(source, target, spec, as_of).where("__changed").select(target.columns)
+    pairs = _matched(_renamed(source), target, spec, instant_sql(as_of))
+    return pairs.where("__changed").select(target.columns)
 
 
 class Scd2Result:
@@ -233,7 +251,7 @@ class Scd2Result:
     ):
         self._target, self._spec, self._schema = target, spec, target.schema
         self._at = instant_sql(as_of)
-        self._as_of, self._processed, self._key_method = as_of, processed, key_method
+        self._processed, self._key_method = processed, key_method
         self._broadcast_limit = broadcast_limit
         self._all = source
         complete = _complete(spec.business_key)
@@ -245,10 +263,14 @@ class Scd2Result:
             return self._all.where("false")
         return self._all.where(f"NOT ({_complete(self._spec.business_key)})")
 
+    @cached_property
+    def _snapshot(self) -> DataFrame:
+        return _renamed(self._source)
+
     @cached_property
     def _pairs(self) -> DataFrame:
-        pairs = matched(
-            self._source, self._target, self._spec, self._as_of, self._broadcast_limit
+        pairs = _matched(
+            self._snapshot, self._target, self._spec, self._at, self._broadcast_limit
         )
         return pairs.withColumn("__stamp", self._processed)
 
@@ -256,10 +278,16 @@ class Scd2Result:
     def _fresh(self) -> DataFrame:
         """New entities with surrogate and technical columns, in source columns."""
         spec, schema = self._spec, self._schema
-        unseen = new_rows(self._source, self._target, spec)
+        method = self._key_method
+        if method == "auto":  # there are at most as many new rows as snapshot rows
+            method = "window" if is_small(self._source) else "range"
         seed = max_key(self._target, spec.surrogate_key, spec.first_key - 1).scalar()
         numbered = assign_surrogate_keys(
-            unseen, spec.business_key, spec.surrogate_key, seed, self._key_method
+            _unseen(self._snapshot, self._target, spec),
+            [f"__s_{k}" for k in spec.business_key],
+            spec.surrogate_key,
+            seed,
+            method,
         ).withColumn("__stamp", self._processed)
         technical = {
             spec.surrogate_key: quoted(spec.surrogate_key),
@@ -270,7 +298,7 @@ class Scd2Result:
         if spec.version:
             technical[spec.version] = "1"
         return numbered.selectExpr(
-            *[quoted(c) for c in self._source.columns],
+            *[f"{_s(c)} AS {quoted(c)}" for c in self._source.columns],
             *[_typed(value, c, schema) for c, value in technical.items()],
         )
 
