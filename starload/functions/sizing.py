@@ -39,13 +39,22 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(total.alias("n")).first()["n"])
 
 
+def fits_auto_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own threshold makes it broadcast ``df`` without being asked."""
+    try:
+        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    except AttributeError:
+        return False
+    return is_small(df, limit)
+
+
 def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only when its counted size is under ``limit``.
 
     Small inputs are left to Spark's own threshold. Larger ones are measured, and
     above the limit the join stays a shuffle join, where adaptive execution splits
-    hot keys of the streamed side.
+    hot keys of the streamed side. A limit of 0 switches measuring off.
     """
-    if limit <= SMALL_BYTES or is_small(df):
+    if limit <= 0 or fits_auto_broadcast(df):
         return df
     return F.broadcast(df) if measured_bytes(df) <= limit else df

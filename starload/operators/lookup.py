@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.names import quoted
-from starload.functions.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_bounded
+from starload.functions.sizing import (
+    BROADCAST_LIMIT_BYTES,
+    broadcast_if_bounded,
+    fits_auto_broadcast,
+)
+from starload.sources.scratch import materialize
 
 
 def one_row_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
@@ -56,9 +61,15 @@ def lookup_surrogates(
 
     The lookup is by key only, not by date: a version becomes valid on the load
     date, which lies after the order dates of the month it was loaded with.
+
+    A reduced dimension too large for Spark to broadcast is stored first: read from
+    files, both sides of the join are plain shuffles, which is the shape in which
+    adaptive execution can split a fact key that holds a large share of the rows.
     """
     for dim, dim_key, surrogate, fact_key in dims:
         slim = one_row_per_key(dim, dim_key, surrogate)
+        if not fits_auto_broadcast(slim):
+            slim = materialize(slim, "keys")
         df = lookup(df, slim, {fact_key: dim_key}, [surrogate], null_safe, broadcast_limit)
     return df
 

@@ -27,6 +27,7 @@ from starload.functions.names import quoted
 from starload.functions.sizing import broadcast_if_bounded, is_small
 from starload.operators.keys import EMPTY_SEED, assign_surrogate_keys, max_key
 from starload.schemas import require_columns
+from starload.sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -248,11 +249,12 @@ class Scd2Result:
         processed: Column,
         key_method: str,
         broadcast_limit: int,
+        known: DataFrame,
     ):
         self._target, self._spec, self._schema = target, spec, target.schema
         self._at = instant_sql(as_of)
         self._processed, self._key_method = processed, key_method
-        self._broadcast_limit = broadcast_limit
+        self._broadcast_limit, self._known = broadcast_limit, known
         self._all = source
         complete = _complete(spec.business_key)
         self._source = source if spec.literal_intervals else source.where(complete)
@@ -281,9 +283,9 @@ class Scd2Result:
         method = self._key_method
         if method == "auto":  # there are at most as many new rows as snapshot rows
             method = "window" if is_small(self._source) else "range"
-        seed = max_key(self._target, spec.surrogate_key, spec.first_key - 1).scalar()
+        seed = max_key(self._known, spec.surrogate_key, spec.first_key - 1).scalar()
         numbered = assign_surrogate_keys(
-            _unseen(self._snapshot, self._target, spec),
+            _unseen(self._snapshot, self._known, spec),
             [f"__s_{k}" for k in spec.business_key],
             spec.surrogate_key,
             seed,
@@ -321,6 +323,8 @@ class Scd2Result:
             *[f"{quoted(k)} AS {quoted('__k_' + k)}" for k in spec.business_key],
             "1 AS __shift",
         )
+        # stored, so that a key with very many later rows can be split in the join
+        touched = materialize(touched, "touched")
         on = [after[k] == touched[f"__k_{k}"] for k in spec.business_key]
         version = f"CASE WHEN __shift = 1 THEN {_next_version(spec)} ELSE {quoted(spec.version)} END"
         moved = after.join(touched, on, "left").selectExpr(
@@ -406,6 +410,7 @@ def scd2_merge(
     processed: Column | None = None,
     key_method: str = "auto",
     broadcast_limit: int = 0,
+    known: DataFrame | None = None,
 ) -> Scd2Result:
     """Merge snapshot ``source``, taken at ``as_of``, into the history ``target``.
 
@@ -419,11 +424,13 @@ def scd2_merge(
     Both inputs should be stored tables: the target is scanned for the rows valid
     at the date, for the rest, for its keys and for its highest surrogate key, each
     time with the filter or the columns pushed down. With ``broadcast_limit`` the
-    snapshot is measured, and broadcast if it is smaller.
+    snapshot is measured, and broadcast if it is smaller. ``known`` is the whole
+    history where ``target`` leaves out rows that ended before ``as_of``: entities
+    and surrogate keys are then looked up there, and ``full`` leaves the same rows out.
     """
     check_columns(source, target, spec)
     stamp = run_day_midnight() if processed is None else processed
-    return Scd2Result(source, target, spec, as_of, stamp, key_method, broadcast_limit)
+    return Scd2Result(source, target, spec, as_of, stamp, key_method, broadcast_limit, target if known is None else known)
 
 
 def in_key_order(df: DataFrame, spec: Scd2Spec) -> DataFrame:

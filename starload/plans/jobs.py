@@ -10,9 +10,10 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from starload.functions.dates import parse_as_of
+from starload.functions.dates import instant, instant_sql, parse_as_of
 from starload.functions.sizing import BROADCAST_LIMIT_BYTES
 from starload.operators.facts import with_load_stamp
 from starload.operators.scd2 import (
@@ -25,9 +26,8 @@ from starload.operators.scd2 import (
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import schema_of
 from starload.sources.csv_feed import read_feed, write_slices
+from starload.sources.history import publish_history, read_history
 from starload.sources.tables import (
-    publish,
-    read_current,
     read_table,
     replace_batch,
     replace_table,
@@ -74,9 +74,9 @@ class Warehouse:
             return self.facts().drop(BATCH)
         return read_table(self.spark, self.path(layer, name), schema_of(layer, name))
 
-    def dimension(self, name: str) -> DataFrame:
+    def dimension(self, name: str, open_only: bool = False) -> DataFrame:
         schema = schema_of("dwh", f"{name}_dim")
-        return read_current(self.spark, self.path("dwh", f"{name}_dim"), schema)
+        return read_history(self.spark, self.path("dwh", f"{name}_dim"), schema, open_only)
 
     def facts(self, name: str = "sales") -> DataFrame:
         """Facts with the batch they were loaded by, for partition pruning."""
@@ -112,8 +112,12 @@ def load_dimension(
 
     ``duplicates`` says what happens when a snapshot holds a key twice: ``error``,
     ``drop`` (one row per key) or ``keep``. ``ordered`` sorts the stored rows by
-    key and start, at the price of shuffling the whole history. Rows without a
-    business key go to ``rejected/name``.
+    key and start, at the price of a range shuffle. Rows without a business key go
+    to ``rejected/name``.
+
+    Only open rows are read in full and written again, because no other row can be
+    valid at the newest date. A snapshot older than the newest load may cut closed
+    rows too; it merges into the whole history and rewrites it.
     """
     spec = wh.dimensions[name]
     source = wh.table("stg", name)
@@ -124,11 +128,17 @@ def load_dimension(
         raise ValueError(f"{found.duplicate_keys} keys occur more than once in stg.{name}")
     if found.duplicate_keys and duplicates == "drop":
         source = drop_duplicate_keys(source, spec.business_key)
+    target, history = wh.dimension(name, open_only=True), wh.dimension(name)
+    at = instant(as_of)
+    late = not target.where(F.col(spec.start) > at).isEmpty()
+    if late:
+        target = history
     merged = scd2_merge(
-        source, wh.dimension(name), spec, as_of, processed, broadcast_limit=BROADCAST_LIMIT_BYTES
+        source, target, spec, as_of, processed, broadcast_limit=BROADCAST_LIMIT_BYTES, known=history
     )
     full = in_key_order(merged.full, spec) if ordered else merged.full
-    publish(full, wh.path("dwh", f"{name}_dim"))
+    path, open_end = wh.path("dwh", f"{name}_dim"), instant_sql(spec.open_end)
+    publish_history(full, path, spec.end, open_end, complete=late)
     if found.incomplete_rows:
         replace_batch(merged.rejected, wh.path("rejected", name), BATCH, _sample_date(as_of))
     return wh.dimension(name)

@@ -31,7 +31,7 @@ def feed_path(root: str, feed: str, sample_date: str, prefix: str = "snapshot")
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Read text columns by header name, whatever their order in the file.
 
-    No type inference takes place. Every file must carry the header of the first
+    No type inference takes place, and an empty field is null. Every file must carry the header of the first
     one. ``multi_line`` accepts line breaks inside quotes at the price of files
     that cannot be split.
     """

@@ -55,16 +55,28 @@ def replace_batch(df: DataFrame, path: str, by: str, value: str, fmt: str = "par
     df.write.format(fmt).mode("overwrite").save(f"{path}/{by}={value}")
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION_PREFIX}*/{LOADED_MARKER}")
-    file_system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """Path and file system objects, whatever store the path lives on."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    marker, file_system = hadoop_path(spark, path)
+    file_system.create(marker, True).close()
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the versions that were written to the end, oldest first."""
+    pattern, file_system = hadoop_path(spark, f"{path}/{VERSION_PREFIX}*/{LOADED_MARKER}")
     folders = [s.getPath().getParent() for s in file_system.globStatus(pattern) or []]
     return sorted((int(f.getName()[len(VERSION_PREFIX) :]), f.toString()) for f in folders)
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest complete version, or None before the first load."""
-    versions = _versions(spark, path)
+    versions = complete_versions(spark, path)
     return versions[-1][1] if versions else None
 
 
@@ -83,14 +95,13 @@ def publish(df: DataFrame, path: str, keep: int | None = 2) -> str:
     readers on the version before. The newest ``keep`` versions are retained.
     """
     spark = df.sparkSession
-    versions = _versions(spark, path)
+    versions = complete_versions(spark, path)
     number = versions[-1][0] + 1 if versions else 1
     folder = f"{path}/{VERSION_PREFIX}{number:08d}"
     df.write.mode("overwrite").parquet(folder)
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{LOADED_MARKER}")
-    file_system = marker.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.create(marker, True).close()
+    mark(spark, f"{folder}/{LOADED_MARKER}")
     if keep is not None:
         for _, old in (versions + [(number, folder)])[:-keep]:
-            file_system.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
+            stale, file_system = hadoop_path(spark, old)
+            file_system.delete(stale, True)
     return folder

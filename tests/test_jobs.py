@@ -1,9 +1,12 @@
+import random
+
 import pytest
-from pyspark.sql import functions as F
 
+from starload.operators.scd2 import scd2_merge
 from starload.plans.jobs import Warehouse, load_dimension, load_entity, load_sales, run_month
-from starload.schemas import TABLES, schema_of
+from starload.schemas import TABLES, empty_table, schema_of
 from starload.sources.csv_feed import write_feed
+from starload.sources.scratch import materialize
 from starload.sources.tables import replace_table
 from tests.fixtures import stamp
 
@@ -87,6 +90,39 @@ def test_repeating_a_month_changes_nothing(wh):
     assert sorted(wh.table("dwh", "sales").collect(), key=str) == sorted(facts, key=str)
 
 
+def test_random_loads_keep_one_history(spark, tmp_path):
+    """Stored loads in any date order equal merges over the whole history."""
+    rng = random.Random(5)
+    root = str(tmp_path)
+    warehouse = Warehouse(spark, root, f"{root}/raw")
+    spec, schema = warehouse.dimensions["territory"], schema_of("stg", "territory")
+    plain = empty_table(spark, "dwh", "territory_dim")
+    for day in ("20150201", "20150301", "20150501", "20150501", "20150401", "20150601"):
+        rows = [_row("stg", "territory", TerritoryId=i, Region=rng.choice("xy")) for i in range(8) if rng.random() < 0.7]
+        source = spark.createDataFrame(rows, schema)
+        replace_table(source, warehouse.path("stg", "territory"))
+        stored = load_dimension(warehouse, "territory", day, stamp())
+        plain = materialize(scd2_merge(source, plain, spec, day, stamp()).full)
+        assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    open_rows = warehouse.dimension("territory", open_only=True)
+    assert open_rows.where("valid_to_dttm < TIMESTAMP_NTZ '9999-01-01 00:00:00'").isEmpty()
+    assert open_rows.count() == plain.select("TerritoryId").distinct().count()
+
+
+def test_closed_rows_are_written_once(spark, tmp_path):
+    root = str(tmp_path)
+    warehouse = Warehouse(spark, root, f"{root}/raw")
+    for day, region in (("20150201", "a"), ("20150301", "b"), ("20150401", "c"), ("20150501", "c")):
+        rows = [_row("stg", "territory", TerritoryId=1, Region=region)]
+        replace_table(spark.createDataFrame(rows, schema_of("stg", "territory")), warehouse.path("stg", "territory"))
+        load_dimension(warehouse, "territory", day, stamp())
+    versions = sorted(p for p in (tmp_path / "dwh" / "territory_dim").iterdir() if p.name.startswith("version-"))
+    assert [(v / "__open=false").exists() for v in versions] == [False, True, True, False]
+    assert [(v / "__open=true").exists() for v in versions] == [False, False, True, True]
+    found = warehouse.dimension("territory").orderBy("valid_from_dttm").collect()
+    assert [r["Region"] for r in found] == ["a", "b", "c"]
+
+
 def test_duplicates_and_null_keys(spark, tmp_path):
     root = str(tmp_path)
     warehouse = Warehouse(spark, root, f"{root}/raw")

