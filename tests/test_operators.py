@@ -188,9 +188,10 @@ def test_hot_lookup_key_is_split(spark, tmp_path):
         spark.conf.set(k, v)
     try:
         dim = spark.read.parquet(str(tmp_path / "dim"))
-        found = lookup_surrogates(spark.read.parquet(str(tmp_path / "facts")), [(dim, "key", "rk", "k")])
-        total = found.selectExpr("sum(rk - k)", "count(*)")
-        assert tuple(total.collect()[0]) == (300_000_000, 300_000)
+        facts = spark.read.parquet(str(tmp_path / "facts"))
+        found = lookup_surrogates(facts, [(dim, "key", "rk", "k")], broadcast_limit=0)
+        total = found.selectExpr("sum(rk - k)", "count(*)", "max(length(payload))")
+        assert tuple(total.collect()[0]) == (300_000_000, 300_000, 32)
         assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():

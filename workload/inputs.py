@@ -35,6 +35,12 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a file with few splits; a large table has enough of its own."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stamp() -> Column:
     return instant(STAMP)
 
@@ -97,8 +103,9 @@ def pair_snapshot(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
 
 
 def raw_sales(t: Tables, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     sales = (
-        t.lineitem.join(orders_in(t, lo, hi), F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines).join(orders_in(t, lo, hi), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     )
     return sales.selectExpr(

@@ -245,14 +245,15 @@ def dim_lookup_dedup(t: Tables) -> DataFrame:
 
 
 def _first_dimension(t: Tables, name: str, lo: str | None, hi: str | None) -> DataFrame:
-    """Dimension after one load with the entities of a period."""
+    """Stored dimension after one load with the entities of a period."""
     staged = {
         "customer": lambda: stage_customer(raw_customer(t, lo, hi)),
         "product": lambda: stage_product(raw_product(t, lo, hi), raw_subcategory(t), raw_category(t)),
         "territory": lambda: stage_territory(raw_territory(t)),
     }[name]()
+    staged = materialize(staged, "stg")
     empty = empty_table(t.spark, "dwh", f"{name}_dim")
-    return scd2_merge(staged, empty, DIMENSIONS[name], PERIODS[0][0], stamp()).full
+    return materialize(scd2_merge(staged, empty, DIMENSIONS[name], PERIODS[0][0], stamp()).full, "dim")
 
 
 @query
@@ -399,9 +400,11 @@ def scd2_literal_late(t: Tables) -> DataFrame:
 # monthly slices
 
 
-def _slices(t: Tables) -> dict[str, DataFrame]:
+def _slices(t: Tables, stored: bool = False) -> dict[str, DataFrame]:
+    """Slices of all feeds; stored raw sales serve those who need more than one."""
+    sales = raw_sales(t)
     return slice_by_month(
-        raw_sales(t),
+        materialize(sales, "ods") if stored else sales,
         us_date(F.col("OrderDate")),
         raw_customer(t),
         raw_product(t),
@@ -455,7 +458,7 @@ def month_slice_category(t: Tables) -> DataFrame:
 def month_slice_roundtrip(t: Tables) -> DataFrame:
     """All monthly slices written as CSV folders; those of the customers read back."""
     path = scratch_path(t.spark, "slices")
-    export_months(_slices(t), path)
+    export_months(_slices(t, stored=True), path)
     return read_slices(t.spark, f"{path}/customer", schema_of("ods", "customer"))
 
 
