@@ -25,7 +25,7 @@ from starload.session import session_builder
 from starload.sources.csv_feed import FEED_STEMS, write_feed
 from starload.sources.scratch import materialize, scratch_path
 from workload.inputs import PERIODS, Tables, customer_snapshot, pair_snapshot, raw_feed, raw_sales, stamp
-from workload.queries import _PAIR, PAIR, PLAIN, QUERIES, _first_dimension, _history
+from workload.queries import _PAIR, PAIR, PLAIN, QUERIES, _first_dimensions, _history
 
 
 def consume(df: DataFrame) -> None:
@@ -73,7 +73,7 @@ def cases(t: Tables) -> dict[str, Callable[[], object]]:
         scd2_merge(pair_snapshot(t, *first), start, PAIR, PERIODS[0][0], stamp()).full
     )
     sales = materialize(raw_sales(t))
-    dims = [_first_dimension(t, n, *first) for n in ("customer", "product", "territory")]
+    dims = _first_dimensions(t, *first)
     keys = materialize(t.lineitem.select("l_partkey", "l_suppkey").distinct())
 
     root = scratch_path(spark, "bench")

@@ -144,9 +144,9 @@ def load_dimension(
     return wh.dimension(name)
 
 
-def _together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
+def together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
     """Run independent loads side by side, so that small ones fill idle executors."""
-    with ThreadPoolExecutor(len(tasks)) as pool:
+    with ThreadPoolExecutor(min(len(tasks), 8)) as pool:
         run = inheritable_thread_target(spark)(lambda task: task())
         return list(pool.map(run, tasks))
 
@@ -177,7 +177,7 @@ FEEDS = {
 
 def load_feeds(wh: Warehouse, as_of: str | date | datetime, names: Sequence[str]) -> None:
     feeds = [feed for name in names for feed in FEEDS[name]]
-    _together(wh.spark, [partial(load_raw, wh, feed, as_of) for feed in feeds])
+    together(wh.spark, [partial(load_raw, wh, feed, as_of) for feed in feeds])
 
 
 def _stage_and_merge(wh: Warehouse, name: str, as_of, processed: Column | None) -> DataFrame:
@@ -218,7 +218,7 @@ def run_month(
     Neither feeds nor dimensions depend on each other, so their jobs overlap.
     """
     load_feeds(wh, as_of, list(FEEDS))
-    _together(
+    together(
         wh.spark,
         [partial(_stage_and_merge, wh, name, as_of, processed) for name in wh.dimensions],
     )
@@ -228,4 +228,4 @@ def run_month(
 def export_months(slices: Mapping[str, DataFrame], root: str) -> None:
     """Write the feeds of all months as CSV, one folder per feed and sample date."""
     writes = [partial(write_slices, df, f"{root}/{feed}") for feed, df in slices.items()]
-    _together(next(iter(slices.values())).sparkSession, writes)
+    together(next(iter(slices.values())).sparkSession, writes)

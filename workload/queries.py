@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +31,7 @@ from starload.plans.jobs import (
     export_months,
     load_entity,
     run_month,
+    together,
 )
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import columns, empty_frame, empty_table, schema_of
@@ -256,11 +256,16 @@ def _first_dimension(t: Tables, name: str, lo: str | None, hi: str | None) -> Da
     return materialize(scd2_merge(staged, empty, DIMENSIONS[name], PERIODS[0][0], stamp()).full, "dim")
 
 
+def _first_dimensions(t: Tables, lo: str | None, hi: str | None) -> list[DataFrame]:
+    names = ("customer", "product", "territory")
+    return together(t.spark, [partial(_first_dimension, t, name, lo, hi) for name in names])
+
+
 @query
 def fact_key_lookup(t: Tables) -> DataFrame:
     """Sales of all time against dimensions of the first period: some find no key."""
     _, lo, hi = PERIODS[0]
-    dims = [_first_dimension(t, n, lo, hi) for n in ("customer", "product", "territory")]
+    dims = _first_dimensions(t, lo, hi)
     return stage_sales(raw_sales(t), *dims)
 
 
@@ -411,6 +416,7 @@ def _slices(t: Tables, stored: bool = False) -> dict[str, DataFrame]:
         raw_subcategory(t),
         raw_category(t),
         raw_territory(t),
+        store_products=stored,
     )
 
 
@@ -469,13 +475,11 @@ def _warehouse(t: Tables, feeds: tuple[str, ...]) -> Warehouse:
     """Empty warehouse with the raw feeds of all periods dropped as CSV."""
     root = scratch_path(t.spark, "warehouse")
     wh = Warehouse(t.spark, root, f"{root}/raw")
-    drops = [(feed, *period) for feed in feeds for period in PERIODS]
 
     def drop(feed: str, name: str, lo: str | None, hi: str | None) -> None:
         write_feed(raw_feed(t, feed, lo, hi), wh.raw_root, feed, name)
 
-    with ThreadPoolExecutor(8) as pool:
-        list(pool.map(inheritable_thread_target(t.spark)(lambda d: drop(*d)), drops))
+    together(t.spark, [partial(drop, feed, *period) for feed in feeds for period in PERIODS])
     return wh
 
 
@@ -517,7 +521,7 @@ def monthly_load(t: Tables) -> DataFrame:
 
 @query
 def auto_summarize_fact(t: Tables) -> DataFrame:
-    dims = [_first_dimension(t, n, None, None) for n in ("customer", "product", "territory")]
+    dims = _first_dimensions(t, None, None)
     return auto_summarize(stage_sales(raw_sales(t), *dims), ["OrderDate"])
 
 
