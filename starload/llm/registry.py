@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starload.llm.bpe import op8_bpe
+from starload.llm.langid import op10_language
 from starload.llm.quality_rules import op9_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language": op10_language,
 }
 ORACLE: dict[str, str] = {}
