@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,20 @@ CACHE_WORDS = 200_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, if they have no other."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package."""
+    _importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -102,7 +117,7 @@ def with_text_columns(
                 struct = pa.StructArray.from_arrays(arrays, names=names)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in passed], struct], names=[*passed, name])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def release(df: DataFrame) -> None:

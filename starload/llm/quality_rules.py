@@ -91,7 +91,7 @@ def repeated_words(hashes: np.ndarray, width: int = WINDOW) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def _features():
+def feature_step():
     hashes = WordHashes()
 
     def row(text: bytes | None) -> tuple[int, ...]:
@@ -137,7 +137,7 @@ def with_features(
     df: DataFrame, text: str = "text", name: str = "rule_features", drop_text: bool = False
 ) -> DataFrame:
     """``df`` and a struct of counts over each whole text."""
-    return with_text_columns(df, text, name, FEATURES, _features, drop_text)
+    return with_text_columns(df, text, name, FEATURES, feature_step, drop_text)
 
 
 def vote_pattern(features: str, rules: tuple[Rule, ...] = RULES) -> Column:
