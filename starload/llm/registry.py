@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starload.llm.bpe import op8_bpe
 from starload.llm.langid import op10_language
 from starload.llm.mixing import OP7_SQL, op7_mixing
+from starload.llm.near_copies import op6_near_copies
 from starload.llm.quality_rules import op9_quality_rules
 from starload.llm.sharding import op1_sharding
 from starload.llm.site_quality import op4_quality_classifier
@@ -16,6 +17,7 @@ from starload.llm.site_quality import op4_quality_classifier
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_near_copies": op6_near_copies,
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
