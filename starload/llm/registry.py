@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starload.llm.bpe import op8_bpe
+from starload.llm.class_lm import op2_class_lm
 from starload.llm.langid import op10_language
 from starload.llm.mixing import OP7_SQL, op7_mixing
 from starload.llm.near_copies import op6_near_copies
@@ -16,6 +17,7 @@ from starload.llm.site_quality import op4_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_class_lm": op2_class_lm,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_near_copies": op6_near_copies,
     "op7_mixing": op7_mixing,
