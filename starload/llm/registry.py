@@ -11,6 +11,7 @@ from starload.llm.class_lm import op2_class_lm
 from starload.llm.langid import op10_language
 from starload.llm.mixing import OP7_SQL, op7_mixing
 from starload.llm.near_copies import op6_near_copies
+from starload.llm.posting_lists import op3_posting_lists
 from starload.llm.quality_rules import op9_quality_rules
 from starload.llm.sharding import op1_sharding
 from starload.llm.site_quality import op4_quality_classifier
@@ -18,6 +19,7 @@ from starload.llm.site_quality import op4_quality_classifier
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_class_lm": op2_class_lm,
+    "op3_posting_lists": op3_posting_lists,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_near_copies": op6_near_copies,
     "op7_mixing": op7_mixing,
