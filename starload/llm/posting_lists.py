@@ -169,6 +169,9 @@ def fit_centroids(entries: DataFrame, dim: int, index: Index) -> Centroids:
     rng = np.random.default_rng(11)
     far = rng.integers(0, number, (number, 4))
     graph = np.concatenate([near, far, np.roll(np.arange(number), 1)[:, None]], 1)
+    for i, beside in enumerate(graph):  # a link that repeats another leads back to its own end
+        kept, first = np.unique(beside, return_index=True)
+        graph[i] = np.concatenate([beside[np.sort(first)], np.full(len(beside) - len(kept), i)])
     start = np.unique(rng.integers(0, number, 8))
     return Centroids(centres, graph, start, float(stats["bound"]))
 
