@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starload.llm.bpe import op8_bpe
 from starload.llm.class_lm import op2_class_lm
 from starload.llm.langid import op10_language
+from starload.llm.main_text import op5_main_text
 from starload.llm.mixing import OP7_SQL, op7_mixing
 from starload.llm.near_copies import op6_near_copies
 from starload.llm.posting_lists import op3_posting_lists
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_class_lm": op2_class_lm,
     "op3_posting_lists": op3_posting_lists,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_main_text": op5_main_text,
     "op6_near_copies": op6_near_copies,
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
