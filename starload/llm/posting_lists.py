@@ -40,7 +40,8 @@ class Index:
     half the square root of the number of vectors, ``centroids`` at most. ``spread`` and
     ``probe`` are the ratios of distances for filing and for searching, ``beam`` the number
     of centroids that the graph search keeps. A query reads lists of ``margin`` times the
-    entries that make sure of a full result, even where fewer are within the ratio.
+    entries that make sure of a full result, even where fewer are within the ratio. What it
+    finds in the ``first`` lists bounds what others have to hand on.
     """
 
     neighbours: int = 20
@@ -53,6 +54,7 @@ class Index:
     probe: float = 1.1
     beam: int = 128
     margin: int = 8
+    first: int = 4
     part: int = 4_096
     block: int = 2_048
 
@@ -187,11 +189,11 @@ def filed(
     sizes: np.ndarray | None = None,
     least: int = 0,
 ) -> DataFrame:
-    """``keep`` columns of ``entries`` and ``list``, once for each centroid within the ratio.
+    """``keep`` columns of ``entries``, ``list`` and its ``place``, once for each centroid within the ratio.
 
     With ``sizes`` of the lists, further ones are added until they hold ``least`` entries.
     """
-    schema = entries.select(*keep).schema.add("list", "integer")
+    schema = entries.select(*keep).schema.add("list", "integer").add("place", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centroids.value
@@ -208,8 +210,12 @@ def filed(
                 row, place = np.nonzero(wanted)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [*[taken.column(k) for k in keep], pa.array(numbers[row, place].astype(np.int32))],
-                    names=[*keep, "list"],
+                    [
+                        *[taken.column(k) for k in keep],
+                        pa.array(numbers[row, place].astype(np.int32)),
+                        pa.array(place.astype(np.int32)),
+                    ],
+                    names=[*keep, "list", "place"],
                 )
 
     return map_batches(entries, run, schema)
@@ -260,45 +266,68 @@ def nearest(
         "vector",
         "ids",
     )
-    asking = probes.join(shape, "list").select(
-        "list",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("vector"), "blocks").alias("block"),
-        "vector",
-    )
+    keys = ["list", "part", "block"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The k + 1 best entries of a part for each query of a block."""
+        """Of a part the best entries, k + 1 at most and none under its bound, for each query of a block."""
         x, q = _matrix(left["vector"], dim), _matrix(right["vector"], dim)
         first = np.array([i[0] for i in left["ids"].to_pylist()], np.int64)
+        bounds = right["bound"].to_numpy()
         take = min(k + 1, len(x))
         who, which, value = [], [], []
         for at in range(0, len(q), 256):
             s = q[at : at + 256] @ x.T
-            for i, row in enumerate(s):
-                near = np.flatnonzero(row >= np.partition(row, len(row) - take)[len(row) - take])
+            for i, row in enumerate(s if take else ()):
+                near = np.flatnonzero(row >= max(bounds[at + i], np.partition(row, len(row) - take)[len(row) - take]))
                 best = near[np.lexsort((first[near], -row[near]))[:take]]
                 who.append(np.full(len(best), at + i))
                 which.append(best)
                 value.append(row[best])
-        if not who:
-            return pa.table({"asked": pa.array([], pa.binary()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
-        a, b = pa.array(np.concatenate(who)), pa.array(np.concatenate(which))
-        return pa.table({"asked": right["vector"].take(a), "ids": left["ids"].take(b), "score": pa.array(np.concatenate(value))})
-
+        a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (who, which))
+        scores = np.concatenate(value) if value else np.empty(0)
+        return pa.table({"asked": right["vector"].take(a), "ids": left["ids"].take(b), "score": pa.array(scores)})
+
+    def search(asking: DataFrame) -> DataFrame:
+        """Rows (asked, ids, score) of the lists that ``asking`` (vector, list, bound) names."""
+        blocks = asking.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / index.block).alias("blocks"))
+        shape = F.broadcast(parts.join(blocks, "list"))  # a row for each list
+        dealt = postings.join(shape, "list").select(
+            "list",
+            F.pmod(F.xxhash64("vector"), "parts").alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+            "vector",
+            "ids",
+        )
+        asked_of = asking.join(shape, "list").select(
+            "list",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("vector"), "blocks").alias("block"),
+            "vector",
+            "bound",
+        )
+        both = dealt.groupBy(*keys).cogroup(asked_of.groupBy(*keys))
+        return both.applyInArrow(score, "asked binary, ids array<long>, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        """The k + 1 best entries of each query, with their place ``n``.
+
+        An entry filed in several lists comes back from each, and its products may differ in
+        the last bit.
+        """
+        order = Window.partitionBy("asked").orderBy(F.desc("score"), F.col("ids")[0])
+        once = found.groupBy("asked", "ids").agg(F.max("score").alias("score"))
+        return once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+
+    # The nearest lists give each query a score that anything further has to reach.
     _importable(spark)
-    keys = ["list", "part", "block"]
-    found = dealt.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(score, "asked binary, ids array<long>, score double")
-    best = Window.partitionBy("asked").orderBy(F.desc("score"), F.col("ids")[0])
-    # An entry filed in several lists comes back from each, and its products may differ in the last bit.
-    merged = (
-        found.groupBy("asked", "ids")
-        .agg(F.max("score").alias("score"))
-        .withColumn("n", F.row_number().over(best))
-        .where(F.col("n") <= k + 1)
-        .drop("n")
+    near_lists = probes.where(F.col("place") < index.first).withColumn("bound", F.lit(float("-inf")))
+    near_found = materialize(best(search(near_lists)), "near_found")
+    reached = near_found.where(F.col("n") == k + 1).select(
+        F.col("asked").alias("vector"), (F.col("score") - F.abs("score") * 1e-9).alias("bound")
     )
-    merged = materialize(merged, "merged")
+    rest = probes.where(F.col("place") >= index.first).join(reached, "vector", "left")
+    further = search(rest.withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
+    merged = materialize(best(near_found.drop("n").union(further)).drop("n"), "merged")
     named = (
         asked.join(merged, asked["vector"] == merged["asked"])
         .select("query_id", "score", F.explode("ids").alias("vec_id"))
