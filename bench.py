@@ -24,7 +24,7 @@ from starload.schemas import empty_frame
 from starload.session import session_builder
 from starload.sources.csv_feed import FEED_STEMS, write_feed
 from starload.sources.scratch import materialize, scratch_path
-from workload.inputs import PERIODS, Tables, customer_snapshot, pair_snapshot, raw_feed, raw_sales, stamp
+from workload.inputs import CUTS, PERIODS, REST, Tables, customer_snapshot, pair_snapshot, raw_feed, raw_sales, stamp
 from workload.queries import _PAIR, PAIR, PLAIN, QUERIES, _first_dimensions, _history
 
 
@@ -64,7 +64,7 @@ def literal_merge(source: DataFrame, target: DataFrame, key: list[str], surrogat
 def cases(t: Tables) -> dict[str, Callable[[], object]]:
     """Name to a function that does the timed work."""
     spark = t.spark
-    (_, *first), (day2, *second) = PERIODS[0], PERIODS[1]
+    (_, *first), (day2, *second) = CUTS[0], CUTS[REST]
     snapshot = materialize(customer_snapshot(t, *second))
     history = _history(t, (0,))
     pairs = materialize(pair_snapshot(t, *second))

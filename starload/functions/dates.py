@@ -19,7 +19,9 @@ _AS_OF_FORMATS = ("%Y%m%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d")
 def parse_as_of(value: str | date | datetime) -> datetime:
     """Load date given as ``yyyyMMdd``, ``yyyy-MM-dd[ HH:mm:ss]``, date or datetime."""
     if isinstance(value, datetime):
-        return value.replace(tzinfo=None)
+        if value.tzinfo is not None:
+            raise ValueError("a load date has no zone; convert it first")
+        return value
     if isinstance(value, date):
         return datetime(value.year, value.month, value.day)
     for fmt in _AS_OF_FORMATS:
@@ -60,9 +62,7 @@ def us_date_from_parts(text: Column) -> Column:
 
 def month_key(day: Column) -> Column:
     """First day of the month of ``day`` as ``yyyyMMdd`` text."""
-    return F.concat(
-        F.year(day).cast("string"), F.lpad(F.month(day).cast("string"), 2, "0"), F.lit("01")
-    )
+    return F.date_format(F.trunc(day, "month"), SAMPLE_DATE_FORMAT)
 
 
 def slice_key(day: Column) -> Column:

@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.functions.sizing import is_small
 from starload.sources.scratch import materialize
 
 # Fixed value: the seed of a dimension without rows, so that its first key is 1001.
 EMPTY_SEED = 1000
 
+# Up to so many counted rows one task numbers them; beyond, each range gets about that many.
+SMALL_ROWS = 100_000
+RANGE_ROWS = 500_000
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row in its low 33 bits
 
 
@@ -33,7 +36,8 @@ def assign_surrogate_keys(
     """Number the rows ``seed + 1 … seed + n`` in the order of ``order_by``.
 
     ``window`` is one global ``row_number``, which sorts everything in one task;
-    ``auto`` uses it only where Spark's size estimate is small. ``range`` sorts
+    ``auto`` stores the rows, counts them, and uses it up to ``SMALL_ROWS``; an estimate
+    of their size is no bound on it. ``range`` sorts
     within range partitions, numbers locally and adds the number of rows in the
     partitions before; only these counts, one row per partition, are gathered.
     The ranged rows are written out first so that both uses see the same partitions.
@@ -41,7 +45,12 @@ def assign_surrogate_keys(
     if method not in ("auto", "window", "range"):
         raise ValueError(f"unknown numbering method {method!r}")
     base = F.lit(seed).cast("long") if isinstance(seed, int) else seed.cast("long")
-    if method == "window" or (method == "auto" and is_small(df)):
+    if method == "auto":
+        df = materialize(df, "unnumbered")
+        rows = df.count()
+        method = "window" if rows <= SMALL_ROWS else "range"
+        partitions = partitions or -(-rows // RANGE_ROWS)
+    if method == "window":
         number = F.row_number().over(Window.orderBy(*order_by))
         return df.withColumn(surrogate, base + number)
 

@@ -95,12 +95,18 @@ def check_keys(df: DataFrame, key: Sequence[str]) -> KeyCheck:
 
 
 def drop_duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by its other columns; aggregates map-side."""
+    """One row per complete key, the greatest by its other columns; aggregates map-side.
+
+    Rows without a complete key are no copies of one another and all stay.
+    """
+    complete = F.expr(_complete(key))
+    whole, incomplete = df.where(complete), df.where(~complete)
     others = [c for c in df.columns if c not in key]
     if not others:
-        return df.distinct()
-    best = df.groupBy(*key).agg(F.max(F.struct(*others)).alias("__row"))
-    return best.select([F.col(c) if c in key else F.col(f"__row.{c}") for c in df.columns])
+        return whole.distinct().unionByName(incomplete)
+    best = whole.groupBy(*key).agg(F.max(F.struct(*others)).alias("__row"))
+    reduced = best.select([F.col(c) if c in key else F.col(f"__row.{c}") for c in df.columns])
+    return reduced.unionByName(incomplete)
 
 
 def _and(conditions: Sequence[str]) -> str:
@@ -169,8 +175,9 @@ def _unseen(snapshot: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame
 
 
 def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Source rows of entities that the whole history has never seen."""
-    unseen = _unseen(_renamed(source), target, spec)
+    """Source rows of entities that the whole history has never seen; incomplete keys name none."""
+    complete = source.where(_complete(spec.business_key))
+    unseen = _unseen(_renamed(complete), target, spec)
     return unseen.selectExpr(*[f"{_s(c)} AS {quoted(c)}" for c in source.columns])
 
 
@@ -280,16 +287,13 @@ class Scd2Result:
     def _fresh(self) -> DataFrame:
         """New entities with surrogate and technical columns, in source columns."""
         spec, schema = self._spec, self._schema
-        method = self._key_method
-        if method == "auto":  # there are at most as many new rows as snapshot rows
-            method = "window" if is_small(self._source) else "range"
         seed = max_key(self._known, spec.surrogate_key, spec.first_key - 1).scalar()
         numbered = assign_surrogate_keys(
             _unseen(self._snapshot, self._known, spec),
             [f"__s_{k}" for k in spec.business_key],
             spec.surrogate_key,
             seed,
-            method,
+            self._key_method,
         ).withColumn("__stamp", self._processed)
         technical = {
             spec.surrogate_key: quoted(spec.surrogate_key),
@@ -421,6 +425,9 @@ def scd2_merge(
     a no-op. Entities absent from the snapshot stay as they are. ``processed``
     stamps the rows written, by default with midnight of the run day.
 
+    A snapshot has to hold each key once, which ``check_keys`` tells; a key held twice
+    would become two entities.
+
     Both inputs should be stored tables: the target is scanned for the rows valid
     at the date, for the rest, for its keys and for its highest surrogate key, each
     time with the filter or the columns pushed down. With ``broadcast_limit`` the

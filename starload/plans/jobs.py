@@ -28,6 +28,7 @@ from starload.schemas import schema_of
 from starload.sources.csv_feed import read_feed, write_slices
 from starload.sources.history import publish_history, read_history
 from starload.sources.tables import (
+    drop_batch,
     read_table,
     replace_batch,
     replace_table,
@@ -61,6 +62,10 @@ class Warehouse:
     root: str
     raw_root: str
     prefix: str = "snapshot"
+    #: how feeds lie below ``raw_root``: ``drops``, or the ``slices`` of ``export_months``
+    layout: str = "drops"
+    #: whether texts in the feeds hold line breaks
+    multi_line: bool = False
     dimensions: Mapping[str, Scd2Spec] = field(default_factory=lambda: DIMENSIONS)
 
     def path(self, layer: str, name: str) -> str:
@@ -90,7 +95,9 @@ def _sample_date(as_of: str | date | datetime) -> str:
 
 def load_raw(wh: Warehouse, feed: str, as_of: str | date | datetime) -> DataFrame:
     """Replace a raw table by the feed of one sample date."""
-    raw = read_feed(wh.spark, wh.raw_root, feed, _sample_date(as_of), wh.prefix)
+    raw = read_feed(
+        wh.spark, wh.raw_root, feed, _sample_date(as_of), wh.prefix, wh.layout, wh.multi_line
+    )
     replace_table(raw, wh.path("ods", feed))
     return wh.table("ods", feed)
 
@@ -113,11 +120,12 @@ def load_dimension(
     ``duplicates`` says what happens when a snapshot holds a key twice: ``error``,
     ``drop`` (one row per key) or ``keep``. ``ordered`` sorts the stored rows by
     key and start, at the price of a range shuffle. Rows without a business key go
-    to ``rejected/name``.
+    to ``rejected/name``, all of them; a repeated load replaces those of the load before.
 
-    Only open rows are read in full and written again, because no other row can be
-    valid at the newest date. A snapshot older than the newest load may cut closed
-    rows too; it merges into the whole history and rewrites it.
+    Only open rows are read and written again, because no other row can be valid at the
+    newest date, and every entity has an open row that names its surrogate key. A
+    snapshot older than the newest load may cut closed rows too; it merges into the whole
+    history and rewrites it. With literal intervals the whole history is looked up.
     """
     spec = wh.dimensions[name]
     source = wh.table("stg", name)
@@ -133,6 +141,8 @@ def load_dimension(
     late = not target.where(F.col(spec.start) > at).isEmpty()
     if late:
         target = history
+    elif not spec.literal_intervals:
+        history = target
     merged = scd2_merge(
         source, target, spec, as_of, processed, broadcast_limit=BROADCAST_LIMIT_BYTES, known=history
     )
@@ -141,11 +151,15 @@ def load_dimension(
     publish_history(full, path, spec.end, open_end, complete=late)
     if found.incomplete_rows:
         replace_batch(merged.rejected, wh.path("rejected", name), BATCH, _sample_date(as_of))
+    else:
+        drop_batch(wh.spark, wh.path("rejected", name), BATCH, _sample_date(as_of))
     return wh.dimension(name)
 
 
 def together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
     """Run independent loads side by side, so that small ones fill idle executors."""
+    if not tasks:
+        return []
     with ThreadPoolExecutor(min(len(tasks), 8)) as pool:
         run = inheritable_thread_target(spark)(lambda task: task())
         return list(pool.map(run, tasks))
@@ -196,7 +210,8 @@ def load_facts(wh: Warehouse, as_of, now: Column | None = None) -> DataFrame:
 
     Facts are stored by sample date; loading a month again replaces its rows.
     """
-    dims = [wh.dimension(name) for name in ("customer", "product", "territory")]
+    # each entity has one open row, so the surrogates need no history
+    dims = [wh.dimension(name, open_only=True) for name in ("customer", "product", "territory")]
     staged = load_staging(wh, "sales", stage_sales(wh.table("ods", "sales"), *dims))
     replace_batch(with_load_stamp(staged, now), wh.path("dwh", "sales"), BATCH, _sample_date(as_of))
     return wh.table("dwh", "sales")
@@ -225,7 +240,14 @@ def run_month(
     return load_facts(wh, as_of, now)
 
 
-def export_months(slices: Mapping[str, DataFrame], root: str) -> None:
-    """Write the feeds of all months as CSV, one folder per feed and sample date."""
-    writes = [partial(write_slices, df, f"{root}/{feed}") for feed, df in slices.items()]
+def export_months(slices: Mapping[str, DataFrame], root: str, multi_line: bool = False) -> None:
+    """Write the feeds of all months as CSV, one folder per feed and sample date.
+
+    A ``Warehouse`` with ``layout="slices"`` loads them from there.
+    """
+    if not slices:
+        return
+    writes = [
+        partial(write_slices, df, f"{root}/{feed}", multi_line=multi_line) for feed, df in slices.items()
+    ]
     together(next(iter(slices.values())).sparkSession, writes)

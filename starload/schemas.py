@@ -49,6 +49,7 @@ _VALIDITY = (
     "valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz, processed_dttm timestamp_ntz"
 )
 
+# Columns of the typed tables, in their order.
 _TYPED_TABLES = {
     ("stg", "customer"): f"{_CUSTOMER_TEXT}, CustomerId integer, TotalChildren integer",
     ("stg", "product"): _PRODUCT,

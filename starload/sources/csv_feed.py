@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starload.functions.names import quoted
 from starload.schemas import require_columns, schema_of
 
 # The delimited format, and the file stem of each raw feed.
@@ -22,8 +23,18 @@ FEED_STEMS = {
 }
 
 
-def feed_path(root: str, feed: str, sample_date: str, prefix: str = "snapshot") -> str:
-    """``root/prefix_date/prefix_Feed_date.csv``, a file or a folder of part files."""
+def feed_path(
+    root: str, feed: str, sample_date: str, prefix: str = "snapshot", layout: str = "drops"
+) -> str:
+    """File or folder of part files of a feed.
+
+    ``drops``: ``root/prefix_date/prefix_Feed_date.csv``; ``slices``, as ``write_slices``
+    leaves them: ``root/feed/sample_date=date``.
+    """
+    if layout == "slices":
+        return f"{root}/{feed}/sample_date={sample_date}"
+    if layout != "drops":
+        raise ValueError(f"unknown layout {layout!r}")
     stem = FEED_STEMS[feed]
     return f"{root}/{prefix}_{sample_date}/{prefix}_{stem}_{sample_date}.csv"
 
@@ -31,41 +42,83 @@ def feed_path(root: str, feed: str, sample_date: str, prefix: str = "snapshot")
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Read text columns by header name, whatever their order in the file.
 
-    No type inference takes place, and an empty field is null. Every file must carry the header of the first
-    one. ``multi_line`` accepts line breaks inside quotes at the price of files
-    that cannot be split.
+    No type inference takes place, and an empty field is null. Every file must carry the
+    header of the first one, and a row with more or fewer cells fails the job that reads
+    it. ``multi_line`` accepts line breaks inside quotes at the price of files that cannot
+    be split.
     """
-    reader = spark.read.options(**CSV_FORMAT).option("multiLine", str(multi_line).lower())
-    header = reader.csv(path).columns
-    as_text = StructType([StructField(name, StringType()) for name in header])
+    return _read_by_name(spark, path, schema, multi_line)
+
+
+def _read_by_name(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool, by: str | None = None
+) -> DataFrame:
+    # only a reader that parses every cell can tell the width of a row
+    strict = {"mode": "FAILFAST", "columnPruning": "false", "multiLine": str(multi_line).lower()}
+    reader = spark.read.options(**CSV_FORMAT, **strict)
+    header = [name for name in reader.csv(path).columns if name != by]
+    names = header + ([by] if by else [])
+    as_text = StructType([StructField(name, StringType()) for name in names])
     df = reader.schema(as_text).option("enforceSchema", "false").csv(path)
     require_columns(df, schema.names)
-    return df.select(schema.names)
+    return df.select(schema.names + ([by] if by else []))
 
 
 def read_feed(
-    spark: SparkSession, root: str, feed: str, sample_date: str, prefix: str = "snapshot"
+    spark: SparkSession,
+    root: str,
+    feed: str,
+    sample_date: str,
+    prefix: str = "snapshot",
+    layout: str = "drops",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw feed of one sample date with the declared all-text columns."""
-    return read_csv(spark, feed_path(root, feed, sample_date, prefix), schema_of("ods", feed))
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.options(**CSV_FORMAT, **_KEEP_BLANKS).mode(mode).csv(path)
-
-
-def write_feed(df: DataFrame, root: str, feed: str, sample_date: str, prefix: str = "snapshot") -> None:
-    write_csv(df, feed_path(root, feed, sample_date, prefix))
-
-
-def write_slices(df: DataFrame, path: str, by: str = "sample_date") -> None:
+    path = feed_path(root, feed, sample_date, prefix, layout)
+    return read_csv(spark, path, schema_of("ods", feed), multi_line)
+
+
+def _one_line(df: DataFrame, multi_line: bool, but: str | None = None) -> DataFrame:
+    """``df`` whose texts fail the job where they hold a line break, unless that is allowed."""
+    if multi_line:
+        return df
+    message = "a text holds a line break; write and read it with multi_line"
+    checked = {
+        f.name: F.when(F.col(quoted(f.name)).rlike("[\\r\\n]"), F.raise_error(F.lit(message))).otherwise(
+            F.col(quoted(f.name))
+        )
+        for f in df.schema.fields
+        if isinstance(f.dataType, StringType) and f.name != but
+    }
+    return df.withColumns(checked) if checked else df
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", multi_line: bool = False) -> None:
+    """Write what ``read_csv`` with the same ``multi_line`` reads back."""
+    _one_line(df, multi_line).write.options(**CSV_FORMAT, **_KEEP_BLANKS).mode(mode).csv(path)
+
+
+def write_feed(
+    df: DataFrame,
+    root: str,
+    feed: str,
+    sample_date: str,
+    prefix: str = "snapshot",
+    multi_line: bool = False,
+) -> None:
+    write_csv(df, feed_path(root, feed, sample_date, prefix), multi_line=multi_line)
+
+
+def write_slices(
+    df: DataFrame, path: str, by: str = "sample_date", multi_line: bool = False
+) -> None:
     """All slices in one job, one folder per value of ``by``.
 
     The rebalance hint gathers a slice into few files and lets adaptive execution
     split a slice that is too large for one task.
     """
     (
-        df.hint("rebalance", F.col(by))
+        _one_line(df, multi_line, by).hint("rebalance", F.col(by))
         .write.options(**CSV_FORMAT, **_KEEP_BLANKS)
         .partitionBy(by)
         .mode("overwrite")
@@ -74,14 +127,22 @@ def write_slices(df: DataFrame, path: str, by: str = "sample_date") -> None:
 
 
 def read_slice(
-    spark: SparkSession, path: str, schema: StructType, value: str, by: str = "sample_date"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    value: str,
+    by: str = "sample_date",
+    multi_line: bool = False,
 ) -> DataFrame:
-    return read_csv(spark, f"{path}/{by}={value}", schema)
+    return read_csv(spark, f"{path}/{by}={value}", schema, multi_line)
 
 
 def read_slices(
-    spark: SparkSession, path: str, schema: StructType, by: str = "sample_date"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    by: str = "sample_date",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """All slices, with the folder value as a text column."""
-    with_key = StructType([*schema.fields, StructField(by, StringType())])
-    return spark.read.options(**CSV_FORMAT).schema(with_key).csv(path)
+    """All slices by header name, with the folder value as a text column."""
+    return _read_by_name(spark, path, schema, multi_line, by)

@@ -59,7 +59,9 @@ def publish_history(
     number = versions[-1][0] + 1 if versions else 1
     folder = f"{path}/{VERSION_PREFIX}{number:08d}"
     is_open = F.coalesce(F.col(end) >= F.expr(open_end), F.lit(True))
-    df.withColumn(OPEN_COLUMN, is_open).write.mode("overwrite").partitionBy(OPEN_COLUMN).parquet(folder)
+    # gathered into few files, while a large side is still split over tasks
+    marked = df.withColumn(OPEN_COLUMN, is_open).hint("rebalance", F.col(OPEN_COLUMN))
+    marked.write.mode("overwrite").partitionBy(OPEN_COLUMN).parquet(folder)
     if complete:
         mark(spark, f"{folder}/{COMPLETE_MARKER}")
     mark(spark, f"{folder}/{LOADED_MARKER}")

@@ -55,6 +55,12 @@ def replace_batch(df: DataFrame, path: str, by: str, value: str, fmt: str = "par
     df.write.format(fmt).mode("overwrite").save(f"{path}/{by}={value}")
 
 
+def drop_batch(spark: SparkSession, path: str, by: str, value: str) -> None:
+    """Remove the batch ``by=value`` of a table, if there is one."""
+    folder, file_system = hadoop_path(spark, f"{path}/{by}={value}")
+    file_system.delete(folder, True)
+
+
 def hadoop_path(spark: SparkSession, path: str) -> tuple:
     """Path and file system objects, whatever store the path lives on."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)

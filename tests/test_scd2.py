@@ -267,13 +267,17 @@ def _executed(df):
 
 
 def test_plan_shape(spark, tmp_path):
-    """One left join for versions, one anti join for new keys; history passes through."""
+    """One left join for versions, one anti join for new keys; history passes through.
+
+    By default new rows are stored and counted first; numbered in one task they are part of the plan.
+    """
     for name, frame in (("dim", target(spark)), ("snap", source(spark))):
         frame.write.parquet(str(tmp_path / name))
     stored = spark.read.schema(target(spark).schema).parquet(str(tmp_path / "dim"))
     snap = spark.read.schema(source(spark).schema).parquet(str(tmp_path / "snap"))
     spec = replace(SPEC, version=None)
-    plan = _optimized(merge(snap, stored.drop("version_no"), spec=spec).full)
+    merged = scd2_merge(snap, stored.drop("version_no"), spec, AS_OF, stamp(), key_method="window")
+    plan = _optimized(merged.full)
     assert plan.count("Join LeftOuter") == 1 and plan.count("Join LeftAnti") == 1
     assert not any(f"Join {kind}" in plan for kind in ("FullOuter", "Cross", "Inner"))
     rest = merge(snap, stored.drop("version_no"), spec=spec)._rest

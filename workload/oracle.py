@@ -7,7 +7,8 @@ of the result.
 
 from __future__ import annotations
 
-from workload.inputs import PERIODS, STAMP
+from starload.schemas import schema_of
+from workload.inputs import ALL, CUTS, PERIODS, REST, STAMP
 
 OPEN = "TIMESTAMP '9999-12-31 23:59:59'"
 STAMPED = f"TIMESTAMP '{STAMP}'"
@@ -17,7 +18,7 @@ def _day(name: str) -> str:
     return f"TIMESTAMP '{name[:4]}-{name[4:6]}-{name[6:]} 00:00:00'"
 
 
-D = [_day(name) for name, _, _ in PERIODS]
+D = [_day(name) for name, _, _ in CUTS]
 
 
 def _within(column: str, lo: str | None, hi: str | None) -> str:
@@ -26,6 +27,11 @@ def _within(column: str, lo: str | None, hi: str | None) -> str:
     return " AND ".join(parts) or "TRUE"
 
 
+def _how(lo: str | None, hi: str | None) -> str:
+    """A feed of a period is about its orders; one of all time keeps every customer and part."""
+    return "" if lo or hi else "LEFT"
+
+
 def _money(value: str) -> str:
     return f"CAST(CAST({value} AS DECIMAL(18,2)) AS VARCHAR)"
 
@@ -41,7 +47,7 @@ def last_orders(lo: str | None, hi: str | None) -> str:
 
 
 def customer_snapshot(period: int) -> str:
-    _, lo, hi = PERIODS[period]
+    _, lo, hi = CUTS[period]
     return f"""
     SELECT CAST(c_custkey AS INTEGER) AS CustomerId, c_name AS customer_nm,
            c_mktsegment AS segment_nm, c_nationkey AS nation_no, priority AS priority_cd
@@ -49,7 +55,7 @@ def customer_snapshot(period: int) -> str:
 
 
 def pair_snapshot(period: int) -> str:
-    _, lo, hi = PERIODS[period]
+    _, lo, hi = CUTS[period]
     return f"""
     SELECT CAST(l_partkey AS INTEGER) AS ProductId, CAST(l_suppkey AS INTEGER) AS SupplierId,
            MAX(l_returnflag) AS flag_cd, CAST(SUM(l_quantity) AS DECIMAL(18,0)) AS quantity_no
@@ -81,7 +87,7 @@ def raw_customer(lo: str | None = None, hi: str | None = None) -> str:
            {_money('c_acctbal')} AS AnnualIncome,
            CAST(n_orders AS VARCHAR) AS TotalChildren, priority AS EducationLevel,
            c_mktsegment AS Occupation, CAST(NULL AS VARCHAR) AS HomeOwner
-    FROM customer JOIN ({last_orders(lo, hi)}) o ON c_custkey = o_custkey"""
+    FROM customer {_how(lo, hi)} JOIN ({last_orders(lo, hi)}) o ON c_custkey = o_custkey"""
 
 
 def raw_product(lo: str | None = None, hi: str | None = None) -> str:
@@ -93,7 +99,7 @@ def raw_product(lo: str | None = None, hi: str | None = None) -> str:
            split_part(p_name, ' ', 1) AS ProductColor, CAST(p_size AS VARCHAR) AS ProductSize,
            CAST(NULL AS VARCHAR) AS ProductStyle, CAST(top_price AS VARCHAR) AS ProductCost,
            {_money('p_retailprice')} AS ProductPrice
-    FROM part JOIN (
+    FROM part {_how(lo, hi)} JOIN (
         SELECT l_partkey, MAX(CAST(l_extendedprice AS DECIMAL(18,2))) AS top_price
         FROM lineitem
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE {_within('o_orderdate', lo, hi)})
@@ -234,7 +240,7 @@ def _new_customers(version: bool = False) -> str:
 
 
 FIRST_CHANGED = f"""
-    SELECT t.* FROM ({customers(0)}) t JOIN ({customer_snapshot(1)}) s USING (CustomerId)
+    SELECT t.* FROM ({customers(0)}) t JOIN ({customer_snapshot(REST)}) s USING (CustomerId)
     WHERE {_differs('t', 's')}"""
 
 LATE = f"""
@@ -274,10 +280,10 @@ CORRECTED = f"""
     {_new_customers()}"""
 
 
-def _literal(target: str) -> str:
-    """Merge of snapshot 1 with the interval test closed on both ends."""
+def _literal(target: str, snapshot: int) -> str:
+    """Merge of a snapshot at the second load date with the interval test closed on both ends."""
     return f"""
-    WITH t AS ({target}), s AS ({customer_snapshot(1)}),
+    WITH t AS ({target}), s AS ({customer_snapshot(snapshot)}),
     pair AS (SELECT t.*, s.CustomerId IS NULL OR NOT {_differs('t', 's')} OR t.valid_to_dttm < {D[1]} AS keep,
                     {D[1]} BETWEEN t.valid_from_dttm AND t.valid_to_dttm AS valid,
                     {', '.join(f's.{c} AS s_{c}' for c in CUSTOMER_ATTRIBUTES)}
@@ -295,7 +301,7 @@ def _literal(target: str) -> str:
 NULL_KEYS = f"""
     SELECT CASE WHEN segment_nm <> 'BUILDING' THEN CustomerId END AS CustomerId,
            {', '.join(CUSTOMER_ATTRIBUTES)}
-    FROM ({customer_snapshot(1)}) s"""
+    FROM ({customer_snapshot(REST)}) s"""
 
 
 def _warehouse_history(name: str, snapshots: list[str]) -> str:
@@ -358,6 +364,37 @@ SLICED_CATEGORY = f"""
     JOIN ({RAW_CATEGORY}) c ON s.ProductCategoryKey = c.ProductCategoryKey"""
 
 
+SLICED_FEEDS = {
+    "sales": SLICED,
+    "territory": _referenced(RAW_TERRITORY, "SalesTerritoryKey", "TerritoryKey"),
+    "customer": _referenced(raw_customer(), "CustomerKey", "CustomerKey"),
+    "product": SLICED_PRODUCT,
+    "product_subcategory": SLICED_SUBCATEGORY,
+    "product_category": SLICED_CATEGORY,
+}
+
+
+def _cells() -> str:
+    """Rows of all sliced feeds as one text each, nulls as ``~``."""
+    parts = []
+    for feed, sql in SLICED_FEEDS.items():
+        texts = ", ".join(f"COALESCE({c}, '~')" for c in schema_of("ods", feed).names)
+        parts.append(f"SELECT '{feed}' AS feed, sample_date, concat_ws('|', {texts}) AS cells FROM ({sql}) f")
+    return " UNION ALL ".join(parts)
+
+
+def _sold(key: str, name: str) -> list[str]:
+    """Keys that the sales of each period refer to."""
+    return [f"SELECT DISTINCT CAST({key} AS INTEGER) AS {name} FROM ({raw_sales(lo, hi)}) r" for lo, hi in RANGES]
+
+
+KEYED_SLICE_BY_SLICE = stage_sales(
+    _keys_of(_sold("CustomerKey", "CustomerId"), "CustomerId", "customer_rk"),
+    _keys_of(_sold("ProductKey", "ProductId"), "ProductId", "product_rk"),
+    _keys_of(_sold("TerritoryKey", "TerritoryId"), "TerritoryId", "territory_rk"),
+)
+
+
 def _batches(column: str) -> str:
     cases = " ".join(
         f"WHEN {_within(column, lo, hi)} THEN '{name}'" for name, lo, hi in PERIODS
@@ -376,7 +413,7 @@ _FINGERPRINTED = ["CAST(c_custkey AS VARCHAR)", "c_name", "CAST(c_nationkey AS V
 ORACLE: dict[str, str] = {
     "csv_raw_scan": raw_customer(),
     "csv_raw_scan_sales": raw_sales(),
-    "replace_sink": customers(0, 1),
+    "replace_sink": customers(0, REST),
     "dest_column_mapping": STAGE_TERRITORY,
     "truncate_reload": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "fact_append_stamped": f"""
@@ -401,10 +438,10 @@ ORACLE: dict[str, str] = {
         FROM customer""",
     "snowflake_flatten": stage_product(),
     "dim_lookup_dedup": f"""
-        SELECT CustomerId, MIN(customer_rk) AS customer_rk FROM ({customers(0, 1)}) h GROUP BY CustomerId""",
+        SELECT CustomerId, MIN(customer_rk) AS customer_rk FROM ({customers(0, REST)}) h GROUP BY CustomerId""",
     "fact_key_lookup": KEYED_BY_FIRST_PERIOD,
     "max_key_seed": f"""
-        SELECT CAST(MAX(customer_rk) AS BIGINT) AS max_key, 'customer' AS dimension FROM ({customers(0, 1)}) h
+        SELECT CAST(MAX(customer_rk) AS BIGINT) AS max_key, 'customer' AS dimension FROM ({customers(0, REST)}) h
         UNION ALL SELECT CAST(1000 AS BIGINT), 'empty'""",
     "surrogate_key_assign": """
         SELECT l_partkey, l_suppkey,
@@ -414,29 +451,29 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_custkey, 1000 + ROW_NUMBER() OVER (ORDER BY o_custkey, o_orderkey) AS order_rk
         FROM orders""",
     "scd2_new_keys": f"""
-        SELECT * FROM ({customer_snapshot(1)}) s
+        SELECT * FROM ({customer_snapshot(REST)}) s
         WHERE CustomerId NOT IN (SELECT CustomerId FROM ({customer_snapshot(0)}) t)""",
-    "scd2_unchanged": f"SELECT * FROM ({customers(0, 1)}) h WHERE valid_from_dttm = {D[0]} AND valid_to_dttm = {OPEN}",
+    "scd2_unchanged": f"SELECT * FROM ({customers(0, REST)}) h WHERE valid_from_dttm = {D[0]} AND valid_to_dttm = {OPEN}",
     "scd2_changed": FIRST_CHANGED,
-    "scd2_full": customers(0, 1),
-    "scd2_insert": f"SELECT * FROM ({customers(0, 1)}) h WHERE valid_from_dttm = {D[1]}",
-    "scd2_close": f"SELECT * FROM ({customers(0, 1)}) h WHERE valid_to_dttm = {D[1]}",
-    "scd2_first_load": customers(0),
-    "scd2_versioned": customers(0, 1, version=True),
+    "scd2_full": customers(0, REST),
+    "scd2_insert": f"SELECT * FROM ({customers(0, REST)}) h WHERE valid_from_dttm = {D[1]}",
+    "scd2_close": f"SELECT * FROM ({customers(0, REST)}) h WHERE valid_to_dttm = {D[1]}",
+    "scd2_first_load": customers(ALL),
+    "scd2_versioned": customers(0, REST, version=True),
     "scd2_second_month": customers(0, 1, 2, version=True),
     "scd2_composite_key": history(
-        [(D[p], pair_snapshot(p)) for p in (0, 1)],
+        [(D[p], pair_snapshot(p)) for p in (0, REST)],
         "pair_rk",
         ["ProductId", "SupplierId"],
         ["flag_cd", "quantity_no"],
     ),
-    "scd2_same_date_rerun": customers(0, 1, version=True),
+    "scd2_same_date_rerun": customers(0, REST, version=True),
     "scd2_same_date_correction": CORRECTED,
     "scd2_late_snapshot": LATE,
     "scd2_null_end": f"""
         SELECT * REPLACE (CASE WHEN valid_from_dttm = {D[0]} AND valid_to_dttm = {OPEN}
                                THEN NULL ELSE valid_to_dttm END AS valid_to_dttm)
-        FROM ({customers(0, 1)}) h""",
+        FROM ({customers(0, REST)}) h""",
     "scd2_null_key": history(
         [
             (D[0], customer_snapshot(0)),
@@ -447,8 +484,8 @@ ORACLE: dict[str, str] = {
         CUSTOMER_ATTRIBUTES,
     ),
     "scd2_rejected": f"SELECT * FROM ({NULL_KEYS}) n WHERE CustomerId IS NULL",
-    "scd2_literal_rerun": _literal(customers(0, 1)),
-    "scd2_literal_late": _literal(customers(0, 2)),
+    "scd2_literal_rerun": _literal(customers(0, REST), REST),
+    "scd2_literal_late": _literal(customers(0, 2), 1),
     "sample_date_list": """
         SELECT DISTINCT strftime(o_orderdate, '%Y%m01') AS sample_date
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -459,7 +496,15 @@ ORACLE: dict[str, str] = {
     "month_slice_product": SLICED_PRODUCT,
     "month_slice_subcategory": SLICED_SUBCATEGORY,
     "month_slice_category": SLICED_CATEGORY,
-    "month_slice_roundtrip": _referenced(raw_customer(), "CustomerKey", "CustomerKey"),
+    "month_slice_roundtrip": _cells(),
+    "month_slice_single": f"SELECT * FROM ({_cells()}) c WHERE sample_date = '19970401'",
+    "slices_load": f"SELECT k.*, {STAMPED} AS processed_dttm FROM ({KEYED_SLICE_BY_SLICE}) k",
+    "csv_raw_scan_awkward": """
+        SELECT CAST(p_partkey AS VARCHAR) AS ProductKey,
+               p_brand || chr(10) || '"' || p_type || '", ' || p_name || ',' AS ProductName FROM part""",
+    "dimension_load_duplicates": _warehouse_history("customer", [stage_customer()]),
+    "dimension_load_rejected": f"""
+        SELECT LastName, '{PERIODS[0][0]}' AS sample_date FROM ({stage_customer()}) s""",
     "dimension_load": _warehouse_history("customer", CUSTOMER_LOADS),
     "dimension_load_product": _warehouse_history("product", PRODUCT_LOADS),
     "dimension_load_territory": _warehouse_history("territory", TERRITORY_LOADS),

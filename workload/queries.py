@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +22,16 @@ from starload.operators.scd2 import (
     scd2_merge,
     unchanged_rows,
 )
-from starload.operators.slicing import sample_dates, slice_by_month
+from starload.operators.slicing import sample_dates, slice_by_month, slice_month
 from starload.operators.standardize import retype
 from starload.operators.summarize import auto_summarize
 from starload.plans.jobs import (
     DIMENSIONS,
     Warehouse,
     export_months,
+    load_dimension,
     load_entity,
+    load_staging,
     run_month,
     together,
 )
@@ -48,11 +50,15 @@ from starload.sources.tables import (
     truncate_table,
 )
 from workload.inputs import (
+    ALL,
+    CUTS,
     PERIODS,
+    REST,
     Tables,
     customer_snapshot,
     raw_feed,
     in_period,
+    in_period_of,
     money,
     pair_snapshot,
     raw_category,
@@ -81,6 +87,7 @@ _VERSIONED = columns(
 _PAIR = columns(
     f"pair_rk integer, ProductId integer, SupplierId integer, flag_cd string, quantity_no decimal(18,0), {_VALIDITY}"
 )
+SINGLE_MONTH = "19970401"
 PLAIN = Scd2Spec("customer_rk", ("CustomerId",), version=None)
 VERSIONED = Scd2Spec("customer_rk", ("CustomerId",))
 LITERAL = Scd2Spec("customer_rk", ("CustomerId",), version=None, literal_intervals=True)
@@ -99,12 +106,12 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 def _snapshot(t: Tables, period: int) -> DataFrame:
     """Snapshot of a period as a stored staging table, which a merge reads twice."""
-    _, lo, hi = PERIODS[period]
+    _, lo, hi = CUTS[period]
     return materialize(customer_snapshot(t, lo, hi), "snapshot")
 
 
 def _merge(source: DataFrame, target: DataFrame, spec: Scd2Spec, period: int) -> Scd2Result:
-    return scd2_merge(source, target, spec, PERIODS[period][0], stamp())
+    return scd2_merge(source, target, spec, CUTS[period][0], stamp())
 
 
 def _history(t: Tables, periods: tuple[int, ...], spec: Scd2Spec = PLAIN) -> DataFrame:
@@ -137,7 +144,7 @@ def replace_sink(t: Tables) -> DataFrame:
     """A dimension replaced by a result that reads the same dimension."""
     path = scratch_path(t.spark, "customer_dim")
     publish(_history(t, (0,)), path)
-    publish(_merge(_snapshot(t, 1), read_current(t.spark, path, _CUSTOMER), PLAIN, 1).full, path)
+    publish(_merge(_snapshot(t, REST), read_current(t.spark, path, _CUSTOMER), PLAIN, REST).full, path)
     return read_current(t.spark, path, _CUSTOMER)
 
 
@@ -241,7 +248,7 @@ def snowflake_flatten(t: Tables) -> DataFrame:
 
 @query
 def dim_lookup_dedup(t: Tables) -> DataFrame:
-    return one_row_per_key(_history(t, (0, 1)), "CustomerId", "customer_rk")
+    return one_row_per_key(_history(t, (0, REST)), "CustomerId", "customer_rk")
 
 
 def _first_dimension(t: Tables, name: str, lo: str | None, hi: str | None) -> DataFrame:
@@ -274,7 +281,7 @@ def fact_key_lookup(t: Tables) -> DataFrame:
 
 @query
 def max_key_seed(t: Tables) -> DataFrame:
-    used = max_key(_history(t, (0, 1)), "customer_rk")
+    used = max_key(_history(t, (0, REST)), "customer_rk")
     unused = max_key(empty_frame(t.spark, _CUSTOMER), "customer_rk")
     return used.withColumn("dimension", F.lit("customer")).unionByName(
         unused.withColumn("dimension", F.lit("empty"))
@@ -300,42 +307,42 @@ def surrogate_key_assign_auto(t: Tables) -> DataFrame:
 
 @query
 def scd2_new_keys(t: Tables) -> DataFrame:
-    return new_rows(_snapshot(t, 1), _history(t, (0,)), PLAIN)
+    return new_rows(_snapshot(t, REST), _history(t, (0,)), PLAIN)
 
 
 @query
 def scd2_unchanged(t: Tables) -> DataFrame:
-    return unchanged_rows(_snapshot(t, 1), _history(t, (0,)), PLAIN, PERIODS[1][0])
+    return unchanged_rows(_snapshot(t, REST), _history(t, (0,)), PLAIN, CUTS[REST][0])
 
 
 @query
 def scd2_changed(t: Tables) -> DataFrame:
-    return changed_rows(_snapshot(t, 1), _history(t, (0,)), PLAIN, PERIODS[1][0])
+    return changed_rows(_snapshot(t, REST), _history(t, (0,)), PLAIN, CUTS[REST][0])
 
 
 @query
 def scd2_full(t: Tables) -> DataFrame:
-    return in_key_order(_merge(_snapshot(t, 1), _history(t, (0,)), PLAIN, 1).full, PLAIN)
+    return in_key_order(_merge(_snapshot(t, REST), _history(t, (0,)), PLAIN, REST).full, PLAIN)
 
 
 @query
 def scd2_insert(t: Tables) -> DataFrame:
-    return _merge(_snapshot(t, 1), _history(t, (0,)), PLAIN, 1).insert
+    return _merge(_snapshot(t, REST), _history(t, (0,)), PLAIN, REST).insert
 
 
 @query
 def scd2_close(t: Tables) -> DataFrame:
-    return _merge(_snapshot(t, 1), _history(t, (0,)), PLAIN, 1).close
+    return _merge(_snapshot(t, REST), _history(t, (0,)), PLAIN, REST).close
 
 
 @query
 def scd2_first_load(t: Tables) -> DataFrame:
-    return _history(t, (0,))
+    return _history(t, (ALL,))
 
 
 @query
 def scd2_versioned(t: Tables) -> DataFrame:
-    return _history(t, (0, 1), VERSIONED)
+    return _history(t, (0, REST), VERSIONED)
 
 
 @query
@@ -346,7 +353,7 @@ def scd2_second_month(t: Tables) -> DataFrame:
 @query
 def scd2_composite_key(t: Tables) -> DataFrame:
     target = empty_frame(t.spark, _PAIR)
-    for name, lo, hi in PERIODS[:2]:
+    for name, lo, hi in (CUTS[0], CUTS[REST]):
         snapshot = materialize(pair_snapshot(t, lo, hi), "snapshot")
         target = materialize(scd2_merge(snapshot, target, PAIR, name, stamp()).full, "dim")
     return target
@@ -354,7 +361,7 @@ def scd2_composite_key(t: Tables) -> DataFrame:
 
 @query
 def scd2_same_date_rerun(t: Tables) -> DataFrame:
-    return _merge(_snapshot(t, 1), _history(t, (0, 1), VERSIONED), VERSIONED, 1).full
+    return _merge(_snapshot(t, REST), _history(t, (0, REST), VERSIONED), VERSIONED, REST).full
 
 
 @query
@@ -372,28 +379,28 @@ def scd2_late_snapshot(t: Tables) -> DataFrame:
 def scd2_null_end(t: Tables) -> DataFrame:
     """Open rows without an end are closed like any other open row."""
     target = _history(t, (0,)).withColumn("valid_to_dttm", F.lit(None).cast("timestamp_ntz"))
-    return _merge(_snapshot(t, 1), target, PLAIN, 1).full
+    return _merge(_snapshot(t, REST), target, PLAIN, REST).full
 
 
 def _with_null_keys(t: Tables) -> DataFrame:
     key = F.when(F.col("segment_nm") != "BUILDING", F.col("CustomerId"))
-    return _snapshot(t, 1).withColumn("CustomerId", key)
+    return _snapshot(t, REST).withColumn("CustomerId", key)
 
 
 @query
 def scd2_null_key(t: Tables) -> DataFrame:
-    return _merge(_with_null_keys(t), _history(t, (0,)), PLAIN, 1).full
+    return _merge(_with_null_keys(t), _history(t, (0,)), PLAIN, REST).full
 
 
 @query
 def scd2_rejected(t: Tables) -> DataFrame:
-    return _merge(_with_null_keys(t), _history(t, (0,)), PLAIN, 1).rejected
+    return _merge(_with_null_keys(t), _history(t, (0,)), PLAIN, REST).rejected
 
 
 @query
 def scd2_literal_rerun(t: Tables) -> DataFrame:
     """Closed interval test: the same load once more doubles the changed rows."""
-    return _merge(_snapshot(t, 1), _history(t, (0, 1)), LITERAL, 1).full
+    return _merge(_snapshot(t, REST), _history(t, (0, REST)), LITERAL, REST).full
 
 
 @query
@@ -462,10 +469,74 @@ def month_slice_category(t: Tables) -> DataFrame:
 
 @query
 def month_slice_roundtrip(t: Tables) -> DataFrame:
-    """All monthly slices written as CSV folders; those of the customers read back."""
+    """All monthly slices of the six feeds written as CSV folders and read back."""
     path = scratch_path(t.spark, "slices")
     export_months(_slices(t, stored=True), path)
-    return read_slices(t.spark, f"{path}/customer", schema_of("ods", "customer"))
+
+    def read(feed: str) -> DataFrame:
+        found = read_slices(t.spark, f"{path}/{feed}", schema_of("ods", feed))
+        cells = [F.coalesce(F.col(c), F.lit("~")) for c in schema_of("ods", feed).names]
+        return found.select(F.lit(feed).alias("feed"), "sample_date", F.concat_ws("|", *cells).alias("cells"))
+
+    return reduce(DataFrame.unionByName, [read(feed) for feed in FEED_STEMS])
+
+
+@query
+def slices_load(t: Tables) -> DataFrame:
+    """All sales cut into the slices of three wide periods, exported, and loaded one after the other."""
+    path = scratch_path(t.spark, "exported")
+    day = us_date(F.col("OrderDate"))
+    period = F.coalesce(*[F.when(in_period_of(day, lo, hi), F.lit(name)) for name, lo, hi in PERIODS])
+    feeds = slice_by_month(
+        materialize(raw_sales(t), "ods"),
+        day,
+        raw_customer(t),
+        raw_product(t),
+        raw_subcategory(t),
+        raw_category(t),
+        raw_territory(t),
+        store_products=True,
+        key=period,
+    )
+    export_months(feeds, path)
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), path, layout="slices")
+    for name, _, _ in PERIODS:
+        run_month(wh, name, stamp(), stamp())
+    return wh.table("dwh", "sales")
+
+
+@query
+def month_slice_single(t: Tables) -> DataFrame:
+    """The feeds of one month cut from the sales of that month; one month is the feature."""
+    sales = slice_month(raw_sales(t), us_date(F.col("OrderDate")), SINGLE_MONTH)
+    feeds = slice_by_month(
+        materialize(sales, "ods"),
+        us_date(F.col("OrderDate")),
+        raw_customer(t),
+        raw_product(t),
+        raw_subcategory(t),
+        raw_category(t),
+        raw_territory(t),
+        store_products=True,
+    )
+
+    def cells(feed: str) -> DataFrame:
+        texts = [F.coalesce(F.col(c), F.lit("~")) for c in schema_of("ods", feed).names]
+        return feeds[feed].select(F.lit(feed).alias("feed"), "sample_date", F.concat_ws("|", *texts).alias("cells"))
+
+    return reduce(DataFrame.unionByName, [cells(feed) for feed in FEED_STEMS])
+
+
+@query
+def csv_raw_scan_awkward(t: Tables) -> DataFrame:
+    """Texts with line breaks, quotes and separators, written and read back."""
+    path = scratch_path(t.spark, "awkward.csv")
+    rows = t.part.selectExpr(
+        "CAST(p_partkey AS STRING) AS ProductKey",
+        """concat(p_brand, '\n"', p_type, '", ', p_name, ',') AS ProductName""",
+    )
+    write_csv(rows, path, multi_line=True)
+    return read_csv(t.spark, path, rows.schema, multi_line=True)
 
 
 # jobs
@@ -491,6 +562,35 @@ def dimension_load(t: Tables) -> DataFrame:
     return wh.dimension("customer")
 
 
+def _awkward_customers(t: Tables) -> DataFrame:
+    """Every customer twice with one key, and again without a key."""
+    rows = stage_customer(raw_customer(t))
+    other = rows.withColumn("LastName", F.lit(""))
+    return rows.unionByName(other).unionByName(rows.withColumn("CustomerId", F.lit(None).cast("int")))
+
+
+@query
+def dimension_load_duplicates(t: Tables) -> DataFrame:
+    """Keys held twice are reduced to one row; rows without a key don't count as copies."""
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), "")
+    load_staging(wh, "customer", _awkward_customers(t))
+    return load_dimension(wh, "customer", PERIODS[0][0], stamp(), duplicates="drop")
+
+
+@query
+def dimension_load_rejected(t: Tables) -> DataFrame:
+    """Rows without a key after a repeated load, and none of a load that was mended."""
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), "")
+    for day in (PERIODS[0][0], PERIODS[0][0], PERIODS[1][0]):
+        load_staging(wh, "customer", _awkward_customers(t))
+        load_dimension(wh, "customer", day, stamp(), duplicates="drop")
+    load_staging(wh, "customer", stage_customer(raw_customer(t)))
+    load_dimension(wh, "customer", PERIODS[1][0], stamp())
+    return t.spark.read.parquet(wh.path("rejected", "customer")).select("LastName", "sample_date").withColumn(
+        "sample_date", F.col("sample_date").cast("string")
+    )
+
+
 @query
 def dimension_load_product(t: Tables) -> DataFrame:
     wh = _warehouse(t, ("product", "product_subcategory", "product_category"))
