@@ -19,7 +19,7 @@ from starload.operators.scd2 import (
 )
 from starload.schemas import columns, empty_frame
 from starload.sources.scratch import materialize
-from tests.fixtures import AS_OF, MERGED, OPEN, SOURCE, SPEC, TARGET, rows, source, stamp, target
+from tests.fixtures import AS_OF, MERGED, OPEN, SOURCE, SPEC, STAMP, TARGET, rows, source, stamp, target
 
 LITERAL = replace(SPEC, literal_intervals=True)
 
@@ -35,8 +35,8 @@ def by_text(found):
 def test_golden_full_insert_close(spark):
     result = merge(source(spark), target(spark))
     assert rows(result.full) == by_text(MERGED)
-    assert rows(result.insert) == by_text([r for r in MERGED if r[6].startswith("2025-05-01")])
-    assert rows(result.close) == by_text([r for r in MERGED if r[7].startswith("2025-05-01")])
+    assert rows(result.insert) == by_text([r for r in MERGED if r[5].startswith("2024-08-01")])
+    assert rows(result.close) == by_text([r for r in MERGED if r[6].startswith("2024-08-01")])
     assert result.corrected.count() == 0 and result.rejected.count() == 0
     assert result.full.columns == target(spark).columns
 
@@ -44,8 +44,8 @@ def test_golden_full_insert_close(spark):
 def test_golden_stamps(spark):
     result = merge(source(spark), target(spark))
     stamped = {r["processed"] for r in result.full.selectExpr("string(process_dttm) processed").collect()}
-    assert stamped == {"2025-07-10 15:43:25", "2025-07-11 00:00:00"}
-    assert result.full.where("process_dttm > '2025-07-10 16:00:00'").count() == 7
+    assert stamped == {STAMP, "2024-08-02 00:00:00"}
+    assert result.full.where(f"process_dttm > '{STAMP}'").count() == 6
 
 
 def test_default_stamp_is_midnight_of_the_run_day(spark):
@@ -56,14 +56,14 @@ def test_default_stamp_is_midnight_of_the_run_day(spark):
 
 def test_branches(spark):
     src, tgt = source(spark), target(spark)
-    assert {r["CustomerId"] for r in new_rows(src, tgt, SPEC).collect()} == {4, 5, 6}
-    assert [r["CustomerId"] for r in changed_rows(src, tgt, SPEC, AS_OF).orderBy("CustomerId").collect()] == [1, 3]
-    assert sorted(r["CustomerId"] for r in unchanged_rows(src, tgt, SPEC, AS_OF).collect()) == [1, 2]
+    assert {r["MachineId"] for r in new_rows(src, tgt, SPEC).collect()} == {50, 60}
+    assert [r["MachineId"] for r in changed_rows(src, tgt, SPEC, AS_OF).orderBy("MachineId").collect()] == [20, 30]
+    assert sorted(r["MachineId"] for r in unchanged_rows(src, tgt, SPEC, AS_OF).collect()) == [10, 20, 20, 40]
 
 
 def test_sorted_by_key_and_start(spark):
     found = in_key_order(merge(source(spark), target(spark)).full, SPEC).collect()
-    keys = [(r["CustomerId"], r["valid_from_dttm"]) for r in found]
+    keys = [(r["MachineId"], r["valid_from_dttm"]) for r in found]
     assert keys == sorted(keys)
 
 
@@ -76,9 +76,9 @@ def test_without_version(spark):
 
 def test_first_load_starts_at_1001(spark):
     empty = target(spark).where("false")
-    found = merge(source(spark), empty).full.orderBy("CustomerId").collect()
-    assert [(r["customer_rk"], r["CustomerId"], r["version_no"]) for r in found] == [
-        (1000 + i, i, 1) for i in range(1, 7)
+    found = merge(source(spark), empty).full.orderBy("MachineId").collect()
+    assert [(r["machine_rk"], r["MachineId"], r["version_no"]) for r in found] == [
+        (1001 + i, key, 1) for i, key in enumerate((10, 20, 30, 50, 60))
     ]
 
 
@@ -99,66 +99,67 @@ def test_same_date_rerun_changes_nothing(spark):
 def test_same_date_rerun_literal_repeats_changes(spark):
     once = materialize(merge(source(spark), target(spark), spec=LITERAL).full)
     assert rows(once) == by_text(MERGED)
-    assert merge(source(spark), once, spec=LITERAL).full.count() == 11
+    assert merge(source(spark), once, spec=LITERAL).full.count() == 12
 
 
 def test_same_date_correction_replaces_in_place(spark):
     once = materialize(merge(source(spark), target(spark)).full)
-    fixed = [(1, "Mohamed", "Diegem", "1999", "1")]
+    fixed = [(20, "lathe", "south", "5.5")]
     result = merge(source(spark, fixed), once)
-    expected = [(*r[:4], "1999", *r[5:]) if r[1] == 1 and r[8] == 3 else r for r in MERGED]
+    expected = [(*r[:4], "5.5", *r[5:]) if r[1] == 20 and r[7] == 4 else r for r in MERGED]
     assert rows(result.full) == by_text(expected)
-    assert rows(result.corrected) == by_text([r for r in expected if r[4] == "1999"])
+    assert rows(result.corrected) == by_text([r for r in expected if r[4] == "5.5"])
     assert result.insert.count() == 0
 
 
 def test_late_snapshot_keeps_later_history(spark):
     once = materialize(merge(source(spark), target(spark)).full)
-    late = merge(source(spark, [(1, "Mohamed", "Diegem", "1999", "1")]), once, "20250301")
-    history = [r[4:9] for r in rows(late.full) if r[1] == 1]
+    late = merge(source(spark, [(20, "lathe", "hill", "5.5")]), once, "20240501")
+    history = [r[3:8] for r in rows(late.full) if r[1] == 20]
     assert sorted(history, key=lambda r: r[2]) == [
-        ("1830", "1", "2020-11-23 00:00:00", "2025-01-10 00:00:00", 1),
-        ("1830", "1", "2025-01-10 00:00:00", "2025-03-01 00:00:00", 2),
-        ("1999", "1", "2025-03-01 00:00:00", "2025-05-01 00:00:00", 3),
-        ("1800", "1", "2025-05-01 00:00:00", OPEN, 4),
+        ("east", "8.0", "2022-03-01 00:00:00", "2023-06-15 00:00:00", 1),
+        ("east", "9.0", "2023-06-15 00:00:00", "2024-02-01 00:00:00", 2),
+        ("hill", "9.0", "2024-02-01 00:00:00", "2024-05-01 00:00:00", 3),
+        ("hill", "5.5", "2024-05-01 00:00:00", "2024-08-01 00:00:00", 4),
+        ("south", "9.0", "2024-08-01 00:00:00", OPEN, 5),
     ]
-    assert [r for r in rows(late.full) if r[1] != 1] == by_text([r for r in MERGED if r[1] != 1])
+    assert [r for r in rows(late.full) if r[1] != 20] == by_text([r for r in MERGED if r[1] != 20])
 
 
 def test_late_snapshot_literal_loses_the_later_row(spark):
     once = materialize(merge(source(spark), target(spark)).full)
-    late = merge(source(spark, [(1, "Mohamed", "Diegem", "1999", "1")]), once, "20250301", LITERAL)
-    assert not [r for r in rows(late.full) if r[1] == 1 and r[4] == "1800"]
+    late = merge(source(spark, [(20, "lathe", "hill", "5.5")]), once, "20240501", LITERAL)
+    assert not [r for r in rows(late.full) if r[1] == 20 and r[3] == "south"]
 
 
 def test_null_key_is_rejected(spark):
-    src = source(spark, [*SOURCE, (None, "Nobody", "Nowhere", "0", "0")])
+    src = source(spark, [*SOURCE, (None, "ghost", "nowhere", "0")])
     result = merge(src, target(spark))
     assert rows(result.full) == by_text(MERGED)
-    assert [r["customer_nm"] for r in result.rejected.collect()] == ["Nobody"]
+    assert [r["model_nm"] for r in result.rejected.collect()] == ["ghost"]
     literal = merge(src, target(spark), spec=LITERAL)
-    assert literal.full.count() == 10 and literal.rejected.count() == 0
+    assert literal.full.count() == 11 and literal.rejected.count() == 0
 
 
 def test_null_end_counts_as_open(spark):
-    tgt = target(spark, [r[:7] + (None,) + r[8:] if r[1] == 3 else r for r in TARGET])
+    tgt = target(spark, [r[:6] + (None,) + r[7:] if r[1] == 30 else r for r in TARGET])
     full = merge(source(spark), tgt).full
     assert rows(full) == by_text(MERGED)
-    assert merge(source(spark), tgt, spec=LITERAL).full.where("CustomerId = 3").count() == 0
+    assert merge(source(spark), tgt, spec=LITERAL).full.where("MachineId = 30").count() == 0
 
 
 def test_null_start_counts_as_always_valid(spark):
-    tgt = target(spark, [r[:6] + (None,) + r[7:] if r[1] == 3 else r for r in TARGET])
-    peter = [r for r in rows(merge(source(spark), tgt).full) if r[1] == 3]
-    assert [(r[4], r[6], r[7], r[8]) for r in peter] == [
-        ("1800", None, "2025-05-01 00:00:00", 1),
-        ("1802", "2025-05-01 00:00:00", OPEN, 2),
+    tgt = target(spark, [r[:5] + (None,) + r[6:] if r[1] == 30 else r for r in TARGET])
+    mill = [r for r in rows(merge(source(spark), tgt).full) if r[1] == 30]
+    assert [r[4:8] for r in mill] == [
+        ("7.0", None, "2024-08-01 00:00:00", 1),
+        ("7.25", "2024-08-01 00:00:00", OPEN, 2),
     ]
 
 
 def test_null_shift_needs_safe_fingerprint(spark):
-    tgt = target(spark, [(1001, 1, "a", None, "b", "1", "2025-01-10 00:00:00", OPEN, OPEN, 1)])
-    src = source(spark, [(1, "a", "b", None, "1")])
+    tgt = target(spark, [(1001, 1, "a", None, "b", "2024-01-10 00:00:00", OPEN, OPEN, 1)])
+    src = source(spark, [(1, "a", "b", None)])
     assert merge(src, tgt).close.count() == 0
     assert merge(src, tgt, spec=replace(SPEC, safe_fingerprint=True)).close.count() == 1
 
@@ -170,18 +171,18 @@ def test_extra_source_columns_reach_insert_only(spark):
 
 
 def test_missing_column_raises(spark):
-    with pytest.raises(ValueError, match="city_nm"):
-        check_columns(source(spark).drop("city_nm"), target(spark), SPEC)
-    with pytest.raises(ValueError, match="city_nm"):
-        merge(source(spark).drop("city_nm"), target(spark))
+    with pytest.raises(ValueError, match="hall_cd"):
+        check_columns(source(spark).drop("hall_cd"), target(spark), SPEC)
+    with pytest.raises(ValueError, match="hall_cd"):
+        merge(source(spark).drop("hall_cd"), target(spark))
 
 
 def test_key_checks(spark):
-    src = source(spark, [*SOURCE, SOURCE[2], SOURCE[2], (None, "x", "y", "z", "0")])
-    found = check_keys(src, ["CustomerId"])
+    src = source(spark, [*SOURCE, SOURCE[2], SOURCE[2], (None, "x", "y", "z")])
+    found = check_keys(src, ["MachineId"])
     assert (found.incomplete_rows, found.duplicate_keys) == (1, 1)
-    assert drop_duplicate_keys(src, ["CustomerId"]).count() == 7
-    none = check_keys(source(spark, []), ["CustomerId"])
+    assert drop_duplicate_keys(src, ["MachineId"]).count() == 6
+    none = check_keys(source(spark, []), ["MachineId"])
     assert (none.incomplete_rows, none.duplicate_keys) == (0, 0)
 
 
