@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -121,9 +123,21 @@ def with_text_columns(
 
 
 def release(df: DataFrame) -> None:
-    """Delete the scratch files that a materialized frame reads, and shuffle files no longer held."""
+    """Delete the scratch files that a materialized frame reads."""
     spark = df.sparkSession
     for file in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that nothing holds any more.
+
+    It does so when the driver's garbage is collected, which a driver with little to do
+    puts off for long; a job of many steps would keep the files of all of them. The last
+    query is held until another one has run.
+    """
+    gc.collect()
+    spark.range(1).count()
     spark._jvm.System.gc()
+    time.sleep(0.5)

@@ -214,11 +214,12 @@ def test_prefix_lemma():
         if 100 * both < 75 * (len(a) + len(b) - both):
             continue
         costly = rng.random(2000) < rng.choice([0, 0.2, 0.5])
-        (la, na), (lb, nb) = (near_copies.prefix(len(s), costly[s], 75) for s in (a, b))
+        join = near_copies.Join()
+        (la, na, short_a), (lb, nb, short_b) = (near_copies.prefix(costly[s], join) for s in (a, b))
         shared = np.intersect1d(a[:la], b[:lb])
         assert len(shared) >= min(na, nb)
-        looking = ~costly[shared] if na > 1 and nb > 1 else np.ones(len(shared), bool)
-        assert looking.any()
+        counted = ~costly[shared] if not (short_a or short_b) else np.ones(len(shared), bool)
+        assert counted.sum() >= near_copies.base(min(len(a), len(b)), join)
 
 
 def test_components_of_long_paths(spark):
