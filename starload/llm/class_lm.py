@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import byte_slices, map_batches, read_table, text_bytes
+from starload.llm.common import byte_slices, map_batches, read_table, release, sweep, text_bytes
 from starload.sources.scratch import materialize
 
 #: The end token as a word; no word holds white space.
@@ -56,7 +56,7 @@ class Brown:
     discount: float = 0.5
 
 
-BLOCK_SCHEMA = "block string, ids array<long>, held array<boolean>, lengths array<int>, words binary, tokens binary, train binary"
+BLOCK_SCHEMA = "block long, ids array<long>, held array<boolean>, lengths array<int>, words binary, tokens binary, train binary"
 
 
 def encode_blocks(docs: DataFrame, model: Brown) -> DataFrame:
@@ -89,7 +89,7 @@ def encode_blocks(docs: DataFrame, model: Brown) -> DataFrame:
                 counts = np.bincount(tokens[training], minlength=len(places)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([f"{task}-{made}"]),
+                        pa.array([task << 32 | made], pa.int64()),
                         pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                         pa.array([held], pa.list_(pa.bool_())),
                         pa.array([lengths], pa.list_(pa.int32())),
@@ -108,16 +108,22 @@ def _words(data: bytes) -> list[bytes]:
     return [END, *data.split()]
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """One block at a time, so that no second copy of a whole batch is made."""
+    for i in range(batch.num_rows):
+        yield tuple(column[i].as_py() for column in batch.columns)
+
+
 def word_counts(blocks: DataFrame) -> DataFrame:
     """Rows (block, place, word, n): each word of a block, and how often it stands in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, words, train in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for name, words, train in _rows(batch):
                 listed, counts = _words(words), np.frombuffer(train, np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name] * len(listed)),
+                        pa.array(np.full(len(listed), name, np.int64)),
                         pa.array(np.arange(len(listed), dtype=np.int32)),
                         pa.array(listed, pa.binary()),
                         pa.array(counts.astype(np.int64)),
@@ -125,7 +131,7 @@ def word_counts(blocks: DataFrame) -> DataFrame:
                     names=["block", "place", "word", "n"],
                 )
 
-    return map_batches(blocks.select("block", "words", "train"), run, "block string, place int, word binary, n long")
+    return map_batches(blocks.select("block", "words", "train"), run, "block long, place int, word binary, n long")
 
 
 def _training_pairs(lengths: list[int], held: list[bool], tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +150,7 @@ def leading_pairs(blocks: DataFrame, leading: list[bytes]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = shared.value
         for batch in batches:
-            for lengths, held, words, tokens in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for lengths, held, words, tokens in _rows(batch):
                 own = np.array([numbers.get(w, -1) for w in _words(words)], np.int64)
                 a, b = _training_pairs(lengths, held, np.frombuffer(tokens, np.uint32))
                 a, b = own[a], own[b]
@@ -284,7 +290,7 @@ def context_classes(blocks: DataFrame, leading: list[bytes], classes: list[int],
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, _ = shared.value
         for batch in batches:
-            for lengths, held, words, tokens in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for lengths, held, words, tokens in _rows(batch):
                 listed = _words(words)
                 klass = np.array([own.get(w, -1) for w in listed], np.int64)
                 a, b = _training_pairs(lengths, held, np.frombuffer(tokens, np.uint32))
@@ -322,7 +328,8 @@ def context_classes(blocks: DataFrame, leading: list[bytes], classes: list[int],
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["word", "class"])
 
     sides = map_batches(blocks.select("lengths", "held", "words", "tokens"), count, "word binary, side short, n int")
-    sums = sides.groupBy("word", "side").agg(F.sum("n").alias("n"))
+    # blocks have added up their own counts; dealt by word, both sums need no further shuffle
+    sums = sides.repartition("word").groupBy("word", "side").agg(F.sum("n").alias("n"))
     lists = sums.groupBy("word").agg(F.collect_list(F.struct("side", "n")).alias("s"))
     return map_batches(lists.select("word", "s.side", "s.n"), place, "word binary, class int")
 
@@ -341,6 +348,8 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
     blocks = materialize(encode_blocks(rows, model), "blocks")
     totals = word_counts(blocks).where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = materialize(totals, "vocabulary")
+    del totals
+    sweep(spark)
     size = vocabulary.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     tokens, types = size["tokens"] or 0, size["types"]
     frequent = vocabulary.where(F.col("n") * model.leading >= max(1, tokens)).orderBy(F.desc("n"), "word").collect()
@@ -356,6 +365,9 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
         .select("word", "n", F.coalesce("own", "class", F.lit(0)).alias("class"))
     )
     known = materialize(known, "word_classes")
+    release(vocabulary)
+    del placed
+    sweep(spark)
     stats = known.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()
     class_tokens, class_types = np.zeros(number), np.zeros(number)
     for r in stats:
@@ -369,6 +381,9 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
         .agg(F.collect_list(F.struct("place", "n", "class")).alias("k"))
         .select("block", F.col("k.place").alias("place"), F.col("k.n").alias("n"), F.col("k.class").alias("class"))
     )
+    looked_up = materialize(looked_up, "block_words")
+    release(known)
+    sweep(spark)
     ready = blocks.drop("words", "train").join(looked_up, "block", "left")
     shared = spark.sparkContext.broadcast((tokens, types, class_tokens, class_types))
 
@@ -377,9 +392,7 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
         total, kinds, class_n, class_v = shared.value
         side = number + 1  # the last class stands for unknown words
         for batch in batches:
-            for ids, held, lengths, data, place, n, klass in zip(
-                *(batch.column(i).to_pylist() for i in range(7)), strict=True
-            ):
+            for ids, held, lengths, data, place, n, klass in _rows(batch):
                 seen = np.frombuffer(data, np.uint32).astype(np.int64)
                 width = int(seen.max()) + 1
                 count, own = np.zeros(width, np.int64), np.full(width, number, np.int64)
@@ -422,6 +435,8 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
     )
     wanted = ready.select("ids", "held", "lengths", "tokens", "place", "n", "class")
     texts = materialize(map_batches(wanted, summarise, schema), "text_sums")
+    for frame in (blocks, looked_up):
+        release(frame)
     cells = np.zeros((number + 1) ** 2)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
