@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by inner product, over balanced posting lists.
 
-Vectors are put on a sphere by one more component, so that the largest inner product is the
-smallest distance. Centroids are fitted on a bounded sample by k-means with a price on
+Entries are put on a sphere by one more component, and questions get a zero in it, so that the
+largest inner product is the smallest distance. Centroids are fitted on a bounded sample by k-means with a price on
 large clusters. Every vector is filed under its nearest centroid and under up to
 ``replicas`` others that are nearly as near, so that neighbours across a border are found in
 either list. Centroids are few by construction and are searched in each task by a graph in
-memory; a query reads the lists whose distance is within a ratio of the nearest one's.
+memory. A query takes the lists in the order of their reach, which is its product with the
+centroid plus what the spread of the list along the query may add. What it finds in the first
+of them bounds the rest: it goes on to every list whose reach comes up to its last result.
 
 Equal vectors are one entry with its smallest ids, as many as a result can name, so a
 vector that a third of all rows hold costs no more than any other. Lists are split into
@@ -37,11 +39,11 @@ class Index:
     """Neighbours to return, and the parameters of the index.
 
     At most ``sample`` vectors, and ``sample_bytes`` of them, fit the centroids; there are
-    half the square root of the number of vectors, ``centroids`` at most. ``spread`` and
-    ``probe`` are the ratios of distances for filing and for searching, ``beam`` the number
-    of centroids that the graph search keeps. A query reads lists of ``margin`` times the
-    entries that make sure of a full result, even where fewer are within the ratio. What it
-    finds in the ``first`` lists bounds what others have to hand on.
+    half the square root of the number of vectors, ``centroids`` at most. ``spread`` is the
+    ratio of distances for filing, ``probe`` the number of spreads that an entry may stand off
+    its centroid along a query, and ``beam`` the number of centroids that the graph search
+    keeps. A query reads ``first`` lists, and lists of ``margin`` times the entries that make
+    sure of a full result, whatever their reach.
     """
 
     neighbours: int = 20
@@ -51,7 +53,7 @@ class Index:
     degree: int = 16
     replicas: int = 8
     spread: float = 1.2
-    probe: float = 1.1
+    probe: float = 2.5
     beam: int = 128
     margin: int = 8
     first: int = 4
@@ -178,47 +180,71 @@ def fit_centroids(entries: DataFrame, dim: int, index: Index) -> Centroids:
     return Centroids(centres, graph, start, float(stats["bound"]))
 
 
-def filed(
-    entries: DataFrame,
-    centroids,
-    dim: int,
-    ratio: float,
-    most: int,
-    beam: int,
-    keep: list[str],
-    sizes: np.ndarray | None = None,
-    least: int = 0,
-) -> DataFrame:
-    """``keep`` columns of ``entries``, ``list`` and its ``place``, once for each centroid within the ratio.
+def filed(entries: DataFrame, centroids, dim: int, index: Index) -> DataFrame:
+    """Columns vector, ids, list and ``off``, the squared distance from the centroid, once for each
+    centroid within the ratio."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = centroids.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                x = _matrix(batch.column("vector"), dim)
+                numbers, d = c.nearest(lifted(x, c.bound), 4 * index.replicas)
+                wanted = d <= index.spread * d[:, :1] + 1e-12
+                wanted[:, index.replicas :] = False
+                row, place = np.nonzero(wanted)
+                lists = numbers[row, place]
+                off = ((x[row] - c.centres[lists, :-1]) ** 2).sum(1)
+                taken = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [taken.column("vector"), taken.column("ids"), pa.array(lists.astype(np.int32)), pa.array(off)],
+                    names=["vector", "ids", "list", "off"],
+                )
 
-    With ``sizes`` of the lists, further ones are added until they hold ``least`` entries.
+    return map_batches(entries.select("vector", "ids"), run, "vector binary, ids array<long>, list int, off double")
+
+
+def by_reach(q: np.ndarray, c: Centroids, widths: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and reach of the lists that questions may read, farthest reach first.
+
+    A question's length changes no order, so it is searched for at the length of the sphere.
     """
-    schema = entries.select(*keep).schema.add("list", "integer").add("place", "integer")
+    lengths = np.sqrt((q * q).sum(1, keepdims=True))
+    on_sphere = np.column_stack([q * (c.bound**0.5 / lengths), np.zeros(len(q))])
+    numbers, _ = c.nearest(on_sphere, beam)
+    reach = np.take_along_axis(q @ c.centres[:, :-1].T + lengths * widths, numbers, 1)
+    order = np.argsort(-reach, axis=1, kind="stable")
+    return np.take_along_axis(numbers, order, 1), np.take_along_axis(reach, order, 1)
+
+
+def probes(
+    questions: DataFrame, centroids, dim: int, index: Index, sizes: np.ndarray, widths: np.ndarray, further: bool
+) -> DataFrame:
+    """Columns vector, list, bound of ``questions`` (vector, bound): the lists to read first, or those
+    after them whose reach comes up to the bound."""
+    # An entry is in ``replicas`` lists at most, so these hold k + 1 different ones at least.
+    least = index.margin * (index.neighbours + 1) * index.replicas
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centroids.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                x = lifted(_matrix(batch.column("vector"), dim), c.bound)
-                numbers, d = c.nearest(x, beam)
-                wanted = d <= ratio * d[:, :1] + 1e-12
-                if sizes is not None:
-                    held = sizes[numbers]
-                    wanted |= np.cumsum(held, axis=1) - held < least
-                wanted[:, most:] = False
+                numbers, reach = by_reach(_matrix(batch.column("vector"), dim), c, widths, index.beam)
+                held = sizes[numbers]
+                wanted = np.cumsum(held, axis=1) - held < least
+                wanted[:, : index.first] = True
+                if further:
+                    wanted = ~wanted & (reach >= batch.column("bound").to_numpy()[:, None])
                 row, place = np.nonzero(wanted)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[taken.column(k) for k in keep],
-                        pa.array(numbers[row, place].astype(np.int32)),
-                        pa.array(place.astype(np.int32)),
-                    ],
-                    names=[*keep, "list", "place"],
+                    [taken.column("vector"), pa.array(numbers[row, place].astype(np.int32)), taken.column("bound")],
+                    names=["vector", "list", "bound"],
                 )
 
-    return map_batches(entries, run, schema)
+    return map_batches(questions.select("vector", "bound"), run, "vector binary, list int, bound double")
 
 
 def nearest(
@@ -243,29 +269,17 @@ def nearest(
     if not width:
         return asked.selectExpr("query_id", "1 AS rank", "query_id AS vec_id", "0D AS score")
     centroids = spark.sparkContext.broadcast(fit_centroids(entries, dim, index))
-    postings = materialize(
-        filed(entries, centroids, dim, index.spread, index.replicas, 4 * index.replicas, ["vector", "ids"]), "postings"
+    postings = materialize(filed(entries, centroids, dim, index), "postings")
+    lists = postings.groupBy("list").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("off").alias("mean"), F.max("off").alias("most")
     )
-    questions = asked.select("vector").distinct()
-    lists = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     sizes = np.zeros(len(centroids.value.centres), np.int64)
+    widths = np.zeros(len(sizes))
     for r in lists.collect():
         sizes[r["list"]] = r["n"]
-    # An entry is in ``replicas`` lists at most, so these hold k + 1 different ones at least.
-    least = index.margin * (k + 1) * index.replicas
-    wanted = filed(questions, centroids, dim, index.probe, index.beam, index.beam, ["vector"], sizes, least)
-    probes = materialize(wanted, "probes")
-
+        # Entries far off, as the longest are, widen their list, without their lone distance deciding alone.
+        widths[r["list"]] = index.probe * (r["mean"] ** 0.5 + r["most"] ** 0.5) / 2 / dim**0.5
     parts = lists.select("list", F.ceil(F.col("n") / index.part).alias("parts"))
-    blocks = probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / index.block).alias("blocks"))
-    shape = F.broadcast(parts.join(blocks, "list"))  # a row for each list
-    dealt = postings.join(shape, "list").select(
-        "list",
-        F.pmod(F.xxhash64("vector"), "parts").alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        "vector",
-        "ids",
-    )
     keys = ["list", "part", "block"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -318,15 +332,18 @@ def nearest(
         once = found.groupBy("asked", "ids").agg(F.max("score").alias("score"))
         return once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
 
-    # The nearest lists give each query a score that anything further has to reach.
+    # The first lists give each query a score that anything further has to reach.
     _importable(spark)
-    near_lists = probes.where(F.col("place") < index.first).withColumn("bound", F.lit(float("-inf")))
-    near_found = materialize(best(search(near_lists)), "near_found")
+    questions = asked.select("vector").distinct().withColumn("bound", F.lit(float("-inf")))
+    probing = (centroids, dim, index, sizes, widths)
+    first_lists = materialize(probes(questions, *probing, further=False), "first_lists")
+    near_found = materialize(best(search(first_lists)), "near_found")
     reached = near_found.where(F.col("n") == k + 1).select(
         F.col("asked").alias("vector"), (F.col("score") - F.abs("score") * 1e-9).alias("bound")
     )
-    rest = probes.where(F.col("place") >= index.first).join(reached, "vector", "left")
-    further = search(rest.withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
+    bounded = questions.drop("bound").join(reached, "vector", "left")
+    bounded = bounded.withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    further = search(materialize(probes(bounded, *probing, further=True), "further_lists"))
     merged = materialize(best(near_found.drop("n").union(further)).drop("n"), "merged")
     named = (
         asked.join(merged, asked["vector"] == merged["asked"])

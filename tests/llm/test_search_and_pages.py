@@ -81,6 +81,24 @@ def test_graph_search_finds_the_nearest_centroids(spark):
     assert all(len(set(n)) == len(n) for n in numbers)
 
 
+def test_recall_over_vectors_of_mixed_norms(spark):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(200, 64))
+    x = middles[rng.integers(0, 200, 20_000)] + 0.8 * rng.normal(size=(20_000, 64))
+    x *= (rng.uniform(0.2, 3.0, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    ids = np.arange(len(x))
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    got = {}
+    for r in posting_lists.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, len(x), 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(ids[np.argpartition(-s, 20)[:20]].tolist()))
+    assert hits >= 0.97 * 20 * len(got) and len(got) == 200
+
+
 # Pages
 
 
