@@ -140,6 +140,13 @@ def test_open_blocks_lose_what_the_host_repeats():
     assert kept[3] == "Read all the news of the day here first\n3 only on this page 21 times"
 
 
+def test_open_blocks_beside_an_article_stay_unless_repeated():
+    template = "<div>Read all the news of the day here first</div>"
+    pages = [f"<article>teaser {i}</article>{template}<div>{i} stands only on this page {i * 7} times</div>" for i in range(12)]
+    texts = main_text.page_texts(pages, main_text.Pages())
+    assert texts == [f"teaser {i}\n{i} stands only on this page {i * 7} times" for i in range(12)]
+
+
 def test_suffix_ranks_equal_brute_force():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 3, 200)
