@@ -147,6 +147,19 @@ def test_open_blocks_beside_an_article_stay_unless_repeated():
     assert texts == [f"teaser {i}\n{i} stands only on this page {i * 7} times" for i in range(12)]
 
 
+def test_shared_words_in_running_text_stay():
+    pages = [f"<div>page {i} says that the cat sat on the mat again and then {i} goes on with its own {i} words, {i} of them here and {i} there</div>" for i in range(5)]
+    texts = main_text.page_texts(pages, main_text.Pages())
+    assert texts == [re.sub("<.*?>", "", p) for p in pages]
+
+
+def test_notice_of_a_section_goes_on_a_large_host():
+    notice = "<div>All rights of this section are held by its authors alone</div><div>Read it in the morning paper</div>"
+    pages = [f"<div>{' '.join(f'w{i}x{j}' for j in range(9))}</div>" + notice * (i < 40) for i in range(500)]
+    texts = main_text.page_texts(pages, main_text.Pages())
+    assert texts == [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(500)]
+
+
 def test_suffix_ranks_equal_brute_force():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 3, 200)
