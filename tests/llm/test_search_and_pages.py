@@ -160,6 +160,20 @@ def test_notice_of_a_section_goes_on_a_large_host():
     assert texts == [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(500)]
 
 
+def test_markup_that_ends_by_itself():
+    def text(page):
+        return main_text.page_texts([page], main_text.Pages())[0]
+
+    assert text('<article><p>One</p><svg class="i"/><p>Two</p></article>') == "One\nTwo"
+    assert text('<article><p>One<svg><path d="M0"/></svg> more</p><p>Two</article>') == "One more\nTwo"
+    assert text("<article><p>One</p><!-- <script src=x> --><p>Two</p><!--><p>Th<!-- x -->ree</p></article>") == "One\nTwo\nThree"
+    assert text('<article><p title="<!-- <script>">One</p><p>Two</p></article>') == "One\nTwo"
+    assert text('<article><p class="ad">Buy<p>Real text<p>More</article>') == "Real text\nMore"
+    assert text('<article><ul><li class="ad">Buy<p>it<li>Real<ul><li class="ad">Buy</ul>item<li>Last</ul></article>') == "Real\nitem\nLast"
+    assert text('<article><table><tr class="ad"><td>Buy<tr><td class="ad">Buy<td>Real</table></article>') == "Real"
+    assert text('<article><div class="ad"><p>Buy<p>it</div>Real</article>') == "Real"
+
+
 def test_suffix_ranks_equal_brute_force():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 3, 200)
