@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 SLICE_BYTES = 4 << 20
 #: Entries of a per-task word cache before it starts afresh.
 CACHE_WORDS = 200_000
+#: Upper bound on an Arrow batch sent to Python, unless the session names a lower one; a longer
+#: single row is still a batch of its own.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -30,9 +34,18 @@ def _importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: whole texts make batches of a fixed row count unbounded."""
+    current = spark.conf.get(BATCH_SETTING)
+    digits = current.rstrip("bB")
+    if not digits.isdigit() or not 0 < int(digits) <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
+    """``mapInArrow`` with batches bounded in bytes, whose workers can import this package."""
     _importable(df.sparkSession)
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

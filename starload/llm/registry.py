@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starload.llm.bpe import op8_bpe
 from starload.llm.class_lm import op2_class_lm
+from starload.llm.decontaminate import OP12_SQL, op12_decontaminate
+from starload.llm.filter_audit import OP13_SQL, op13_filter_audit
+from starload.llm.infilling import OP11_SQL, op11_fill_in_middle
 from starload.llm.langid import op10_language
 from starload.llm.main_text import op5_main_text
 from starload.llm.mixing import OP7_SQL, op7_mixing
@@ -28,5 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_language": op10_language,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_filter_audit": op13_filter_audit,
+}
+ORACLE: dict[str, str] = {
+    "op7_mixing": OP7_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_decontaminate": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
-ORACLE: dict[str, str] = {"op7_mixing": OP7_SQL}
