@@ -26,6 +26,11 @@ def one_row_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
     return dim.groupBy(key).agg(F.min(value).alias(value))
 
 
+def first_seen(dim: DataFrame, key: str, value: str, start: str) -> DataFrame:
+    """``one_row_per_key`` with the date ``first_seen`` on which the entity was first loaded."""
+    return dim.groupBy(key).agg(F.min(value).alias(value), F.min(start).alias("first_seen"))
+
+
 def lookup(
     df: DataFrame,
     other: DataFrame,

@@ -23,10 +23,12 @@ from pyspark.sql.types import StructType
 
 from starload.functions.dates import OPEN_END, instant_sql, run_day_midnight
 from starload.functions.fingerprint import row_text_sql
+from starload.functions.keyfilter import FilterShape, maybe_in
 from starload.functions.names import quoted
 from starload.functions.sizing import broadcast_if_bounded, is_small
 from starload.operators.keys import EMPTY_SEED, assign_surrogate_keys, max_key
 from starload.schemas import require_columns
+from starload.sources.buckets import Buckets, dealt
 from starload.sources.scratch import materialize
 
 
@@ -165,19 +167,38 @@ def _renamed(source: DataFrame) -> DataFrame:
     return source.selectExpr(*[f"{quoted(c)} AS {_s(c)}" for c in source.columns])
 
 
-def _unseen(snapshot: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
+@dataclass(frozen=True)
+class KeyFilter:
+    """A filter that holds every business key of a history, and perhaps others."""
+
+    blocks: DataFrame
+    shape: FilterShape
+
+
+def _unseen(
+    snapshot: DataFrame, target: DataFrame, spec: Scd2Spec, key_filter: KeyFilter | None = None
+) -> DataFrame:
     keys = target.select(*spec.business_key)
     if not is_small(keys):
         # a key with a long history reaches the join once; small ones are broadcast
         keys = keys.distinct()
-    on = [snapshot[f"__s_{k}"] == keys[k] for k in spec.business_key]
-    return snapshot.join(keys, on, "left_anti")
-
-
-def new_rows(source: DataFrame, target: DataFrame, spec: Scd2Spec) -> DataFrame:
+    on = [f"__s_{k}" for k in spec.business_key]
+    alike = all(snapshot.schema[f"__s_{k}"].dataType == keys.schema[k].dataType for k in spec.business_key)
+    if key_filter is None or not alike:  # another type hashes otherwise
+        return snapshot.join(keys, [snapshot[s] == keys[k] for s, k in zip(on, spec.business_key)], "left_anti")
+    # surely new rows need no join; the others, known or not, take it, so the result is exact
+    asked = maybe_in(snapshot, on, key_filter.blocks, key_filter.shape, "__maybe")
+    maybe = asked.where("__maybe").drop("__maybe")
+    checked = maybe.join(keys, [maybe[s] == keys[k] for s, k in zip(on, spec.business_key)], "left_anti")
+    return asked.where("NOT __maybe").drop("__maybe").unionByName(checked)
+
+
+def new_rows(
+    source: DataFrame, target: DataFrame, spec: Scd2Spec, key_filter: KeyFilter | None = None
+) -> DataFrame:
     """Source rows of entities that the whole history has never seen; incomplete keys name none."""
     complete = source.where(_complete(spec.business_key))
-    unseen = _unseen(_renamed(complete), target, spec)
+    unseen = _unseen(_renamed(complete), target, spec, key_filter)
     return unseen.selectExpr(*[f"{_s(c)} AS {quoted(c)}" for c in source.columns])
 
 
@@ -257,11 +278,14 @@ class Scd2Result:
         key_method: str,
         broadcast_limit: int,
         known: DataFrame,
+        highest: DataFrame,
+        key_filter: KeyFilter | None,
     ):
         self._target, self._spec, self._schema = target, spec, target.schema
         self._at = instant_sql(as_of)
         self._processed, self._key_method = processed, key_method
-        self._broadcast_limit, self._known = broadcast_limit, known
+        self._broadcast_limit, self._known, self._highest = broadcast_limit, known, highest
+        self._key_filter = key_filter
         self._all = source
         complete = _complete(spec.business_key)
         self._source = source if spec.literal_intervals else source.where(complete)
@@ -287,9 +311,9 @@ class Scd2Result:
     def _fresh(self) -> DataFrame:
         """New entities with surrogate and technical columns, in source columns."""
         spec, schema = self._spec, self._schema
-        seed = max_key(self._known, spec.surrogate_key, spec.first_key - 1).scalar()
+        seed = max_key(self._highest, spec.surrogate_key, spec.first_key - 1).scalar()
         numbered = assign_surrogate_keys(
-            _unseen(self._snapshot, self._known, spec),
+            _unseen(self._snapshot, self._known, spec, self._key_filter),
             [f"__s_{k}" for k in spec.business_key],
             spec.surrogate_key,
             seed,
@@ -347,6 +371,25 @@ class Scd2Result:
 
     @cached_property
     def full(self) -> DataFrame:
+        return self.merged.unionByName(self.fresh).unionByName(self._rest)
+
+    def full_in_buckets(self, buckets: Buckets) -> DataFrame:
+        """``full`` for a history stored in buckets of its key.
+
+        Rows that met the snapshot stay in the tasks of the join, which are those of the
+        buckets; only new entities, and rows the merge did not reach, are dealt anew.
+        """
+        return self.merged.unionByName(dealt(self.fresh.unionByName(self._rest), buckets))
+
+    @cached_property
+    def fresh(self) -> DataFrame:
+        """Rows of new entities, in the columns of the target."""
+        schema = self._schema
+        return self._fresh.selectExpr(*[_typed(quoted(c), c, schema) for c in self._target.columns])
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        """What becomes of the history rows that met the snapshot."""
         spec, target, schema = self._spec, self._target, self._schema
         pairs = self._pairs
         if spec.literal_intervals:
@@ -366,11 +409,7 @@ class Scd2Result:
             values[spec.version] = f"IF(__reopened, {_next_version(spec)}, {quoted(spec.version)})"
         for c in spec.attributes(target):
             values[c] = f"IF(__reopened OR __corrected, {self._from_source(c)}, {quoted(c)})"
-        merged = rows.selectExpr(
-            *[_typed(values.get(c, quoted(c)), c, schema) for c in target.columns]
-        )
-        fresh = self._fresh.selectExpr(*[_typed(quoted(c), c, schema) for c in target.columns])
-        return merged.unionByName(fresh).unionByName(self._rest)
+        return rows.selectExpr(*[_typed(values.get(c, quoted(c)), c, schema) for c in target.columns])
 
     @cached_property
     def insert(self) -> DataFrame:
@@ -415,6 +454,8 @@ def scd2_merge(
     key_method: str = "auto",
     broadcast_limit: int = 0,
     known: DataFrame | None = None,
+    highest: DataFrame | None = None,
+    key_filter: KeyFilter | None = None,
 ) -> Scd2Result:
     """Merge snapshot ``source``, taken at ``as_of``, into the history ``target``.
 
@@ -434,10 +475,17 @@ def scd2_merge(
     snapshot is measured, and broadcast if it is smaller. ``known`` is the whole
     history where ``target`` leaves out rows that ended before ``as_of``: entities
     and surrogate keys are then looked up there, and ``full`` leaves the same rows out.
+    ``highest`` is where the highest surrogate is looked up, if ``known`` is not the place.
+    ``key_filter`` holds all keys of the history; snapshot rows that it surely does not hold
+    are new without a look at the history.
     """
     check_columns(source, target, spec)
     stamp = run_day_midnight() if processed is None else processed
-    return Scd2Result(source, target, spec, as_of, stamp, key_method, broadcast_limit, target if known is None else known)
+    known = target if known is None else known
+    highest = known if highest is None else highest
+    return Scd2Result(
+        source, target, spec, as_of, stamp, key_method, broadcast_limit, known, highest, key_filter
+    )
 
 
 def in_key_order(df: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -10,30 +12,42 @@ from starload.operators.standardize import US_DATE, standardize
 from starload.schemas import conform, schema_of
 
 
-def stage_customer(raw: DataFrame, tolerant: bool = True) -> DataFrame:
+def _conform(df: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
+    """Declared columns of a staging table, and the raw columns ``keep`` next to them."""
+    return conform(df, StructType([*schema_of("stg", name).fields, *[df.schema[c] for c in keep]]))
+
+
+def stage_customer(raw: DataFrame, tolerant: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     typed = standardize(
         raw,
         types={"CustomerKey": "bigint", "TotalChildren": "bigint"},
         rename={"CustomerKey": "CustomerId"},
         tolerant=tolerant,
     )
-    return conform(typed, schema_of("stg", "customer"))
+    return _conform(typed, "customer", keep)
 
 
-def stage_territory(raw: DataFrame, tolerant: bool = True) -> DataFrame:
+def stage_territory(raw: DataFrame, tolerant: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     typed = standardize(
         raw,
         types={"SalesTerritoryKey": "bigint"},
         rename={"SalesTerritoryKey": "TerritoryId"},
         tolerant=tolerant,
     )
-    return conform(typed, schema_of("stg", "territory"))
+    return _conform(typed, "territory", keep)
 
 
 def stage_product(
-    raw: DataFrame, subcategories: DataFrame, categories: DataFrame, tolerant: bool = True
+    raw: DataFrame,
+    subcategories: DataFrame,
+    categories: DataFrame,
+    tolerant: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed products with the names of their subcategory and category."""
+    """Typed products with the names of their subcategory and category.
+
+    Columns ``keep``, such as the sample date, are kept and have to agree on all levels.
+    """
     typed = standardize(
         raw,
         types={
@@ -48,14 +62,15 @@ def stage_product(
     subcategories = standardize(
         subcategories, types={"ProductSubcategoryKey": "bigint"}, tolerant=tolerant
     )
+    same = {name: name for name in keep}
     flat = flatten_snowflake(
         typed,
         [
-            (subcategories, {"ProductSubcategoryId": "ProductSubcategoryKey"}, ["SubcategoryName"]),
-            (categories, {"ProductCategoryKey": "ProductCategoryKey"}, ["CategoryName"]),
+            (subcategories, {"ProductSubcategoryId": "ProductSubcategoryKey"} | same, ["SubcategoryName"]),
+            (categories, {"ProductCategoryKey": "ProductCategoryKey"} | same, ["CategoryName"]),
         ],
     )
-    return conform(flat, schema_of("stg", "product"))
+    return _conform(flat, "product", keep)
 
 
 def stage_sales(
@@ -67,6 +82,20 @@ def stage_sales(
     null_safe: bool = False,
 ) -> DataFrame:
     """Typed sales with the surrogate keys of the three dimensions."""
+    keyed = lookup_surrogates(
+        type_sales(raw, tolerant),
+        [
+            (customer_dim, "CustomerId", "customer_rk", "CustomerId"),
+            (product_dim, "ProductId", "product_rk", "ProductId"),
+            (territory_dim, "TerritoryId", "territory_rk", "TerritoryId"),
+        ],
+        null_safe,
+    )
+    return conform(keyed, schema_of("stg", "sales"))
+
+
+def type_sales(raw: DataFrame, tolerant: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed sales without surrogates: only the columns of the staging table, and ``keep``."""
     target = schema_of("stg", "sales")
     typed = standardize(
         raw,
@@ -86,15 +115,6 @@ def stage_sales(
         },
         tolerant=tolerant,
     )
-    # narrow the columns before the joins shuffle them
-    slim = conform(typed, StructType([f for f in target.fields if f.name in typed.columns]))
-    keyed = lookup_surrogates(
-        slim,
-        [
-            (customer_dim, "CustomerId", "customer_rk", "CustomerId"),
-            (product_dim, "ProductId", "product_rk", "ProductId"),
-            (territory_dim, "TerritoryId", "territory_rk", "TerritoryId"),
-        ],
-        null_safe,
-    )
-    return conform(keyed, target)
+    # narrow the columns before joins shuffle them
+    slim = [f for f in target.fields if f.name in typed.columns]
+    return conform(typed, StructType([*slim, *[typed.schema[c] for c in keep]]))

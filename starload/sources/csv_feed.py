@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -51,7 +53,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
 
 
 def _read_by_name(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool, by: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    multi_line: bool,
+    by: str | None = None,
+    more: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     # only a reader that parses every cell can tell the width of a row
     strict = {"mode": "FAILFAST", "columnPruning": "false", "multiLine": str(multi_line).lower()}
@@ -61,7 +68,8 @@ def _read_by_name(
     as_text = StructType([StructField(name, StringType()) for name in names])
     df = reader.schema(as_text).option("enforceSchema", "false").csv(path)
     require_columns(df, schema.names)
-    return df.select(schema.names + ([by] if by else []))
+    added = [column.alias(name) for name, column in (more or {}).items()]
+    return df.select(*schema.names, *([by] if by else []), *added)
 
 
 def read_feed(
@@ -78,6 +86,27 @@ def read_feed(
     return read_csv(spark, path, schema_of("ods", feed), multi_line)
 
 
+def read_feed_dates(
+    spark: SparkSession,
+    root: str,
+    feed: str,
+    dates: Sequence[str],
+    prefix: str = "snapshot",
+    layout: str = "drops",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Raw feed of many sample dates in one scan, with the ``sample_date`` of each row."""
+    schema, by = schema_of("ods", feed), "sample_date"
+    if layout == "slices":
+        found = _read_by_name(spark, f"{root}/{feed}", schema, multi_line, by)
+        return found.where(F.col(by).isin(list(dates)))
+    paths = [feed_path(root, feed, date, prefix, layout) for date in dates]
+    stem = FEED_STEMS[feed]
+    # a file name holds its date, as part of its own name or of the folder of part files
+    named = F.regexp_extract("_metadata.file_path", f"_{stem}_([0-9]{{8}})\\.csv", 1)
+    return _read_by_name(spark, paths, schema, multi_line, more={by: named})
+
+
 def _one_line(df: DataFrame, multi_line: bool, but: str | None = None) -> DataFrame:
     """``df`` whose texts fail the job where they hold a line break, unless that is allowed."""
     if multi_line:

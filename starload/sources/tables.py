@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starload.functions.names import quoted
@@ -55,6 +56,16 @@ def replace_batch(df: DataFrame, path: str, by: str, value: str, fmt: str = "par
     df.write.format(fmt).mode("overwrite").save(f"{path}/{by}={value}")
 
 
+def replace_batches(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> None:
+    """Write or replace every batch that ``df`` has rows of, in one job.
+
+    The rebalance hint gathers a batch into few files and lets adaptive execution split a
+    large one. A batch without rows stays as it is.
+    """
+    writer = df.hint("rebalance", F.col(by)).write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(by).save(path)
+
+
 def drop_batch(spark: SparkSession, path: str, by: str, value: str) -> None:
     """Remove the batch ``by=value`` of a table, if there is one."""
     folder, file_system = hadoop_path(spark, f"{path}/{by}={value}")

@@ -1,0 +1,113 @@
+"""CSV feeds with damaged rows or changed headers."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from starload.plans.jobs import Warehouse, load_raw
+from starload.schemas import columns
+from starload.sources.csv_checked import by_header, csv_files, header_of, read_split, read_versions
+from starload.sources.csv_feed import feed_path
+
+SCHEMA = columns("id string, name string, city string")
+
+
+def put(path, *lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as file:
+        file.write("\n".join(lines) + "\n")
+    return str(path)
+
+
+def cells(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_damaged_rows_are_kept_with_their_text(spark, tmp_path):
+    a = put(f"{tmp_path}/f/a.csv", "name,id,city", "Ann,1,Rome", "Bob,2", '"C, D",3,"x \\"y\\""', "E,4,Oslo,extra", "")
+    b = put(f"{tmp_path}/f/b.csv", "name,id,city", 'F,"5,Bonn', "G,6,", ",,", "H,7,Wien")
+    split = read_split(spark, f"{tmp_path}/f", SCHEMA)
+    good = [("1", "Ann", "Rome"), ("3", "C, D", 'x "y"'), ("6", "G", None), (None, None, None), ("7", "H", "Wien")]
+    assert cells(split.good) == sorted(good, key=str)
+    bad = {(r["file"].removeprefix("file:").replace("///", "/"), r["record"]) for r in split.bad.collect()}
+    assert bad == {(a, "Bob,2"), (a, "E,4,Oslo,extra"), (b, 'F,"5,Bonn')}
+    assert {r["block_start"] for r in split.bad.collect()} == {0}
+    assert split.bad.select("record").count() == 3 and split.bad.select("file").count() == 3
+
+
+def test_undamaged_and_empty_feeds(spark, tmp_path):
+    put(f"{tmp_path}/f.csv", "id,name,city", "1,a,b")
+    assert read_split(spark, f"{tmp_path}/f.csv", SCHEMA).bad.count() == 0
+    put(f"{tmp_path}/g.csv", "id,name,city")
+    split = read_split(spark, f"{tmp_path}/g.csv", SCHEMA)
+    assert split.good.count() == 0 and split.bad.count() == 0
+    with pytest.raises(ValueError, match="missing"):
+        read_split(spark, f"{tmp_path}/f.csv", columns("id string, other string"))
+
+
+def test_line_breaks_in_damaged_files(spark, tmp_path):
+    put(f"{tmp_path}/f.csv", "id,name,city", '1,"two', 'lines",x', "2,short", "3,c,d")
+    split = read_split(spark, f"{tmp_path}/f.csv", SCHEMA, multi_line=True)
+    assert cells(split.good) == [("1", "two\nlines", "x"), ("3", "c", "d")]
+    assert [r["record"].strip() for r in split.bad.collect()] == ["2,short"]
+
+
+def test_load_sets_bad_rows_aside_and_a_reload_replaces_them(spark, tmp_path):
+    strict = Warehouse(spark, f"{tmp_path}/wh", f"{tmp_path}/raw")
+    lenient = Warehouse(spark, f"{tmp_path}/wh", f"{tmp_path}/raw", bad_rows="aside")
+    path = feed_path(lenient.raw_root, "product_category", "20150201")
+    put(path, "ProductCategoryKey,CategoryName", "1,a", "2", "3,c,d", "4,e")
+    with pytest.raises(Exception, match="Malformed|MALFORMED|FAILED_READ_FILE"):
+        load_raw(strict, "product_category", "20150201")
+    for _ in range(2):
+        assert cells(load_raw(lenient, "product_category", "20150201")) == [("1", "a"), ("4", "e")]
+        aside = spark.read.parquet(lenient.path("bad", "product_category"))
+        assert cells(aside.select("record", F.col("sample_date").cast("string"))) == [("2", "20150201"), ("3,c,d", "20150201")]
+    put(path, "ProductCategoryKey,CategoryName", "1,a", "2,b")
+    assert load_raw(lenient, "product_category", "20150201").count() == 2
+    assert not os.path.exists(f"{lenient.path('bad', 'product_category')}/sample_date=20150201")
+    with pytest.raises(ValueError, match="treatment"):
+        load_raw(Warehouse(spark, "", "", bad_rows="keep"), "sales", "20150201")
+
+
+@pytest.fixture
+def versions(tmp_path):
+    put(f"{tmp_path}/v/sample_date=20150101/a.csv", "id,name", "1,Ann")
+    put(f"{tmp_path}/v/sample_date=20150201/a.csv", "city,id,name,more", "Rome,2,Bob,x")
+    put(f"{tmp_path}/v/sample_date=20150201/b.csv", "city,id,name,more", "Oslo,3,Cy,y")
+    put(f"{tmp_path}/v/sample_date=20150301/a.csv", 'id,"full, name",city', "4,Di,Bonn")
+    put(f"{tmp_path}/v/sample_date=20150301/_hidden.csv", "x", "y")
+    open(f"{tmp_path}/v/empty.csv", "w").close()
+    return f"{tmp_path}/v"
+
+
+def test_files_are_grouped_by_their_header(spark, versions):
+    groups = by_header(spark, csv_files(spark, versions))
+    assert {header: len(files) for header, files in groups.items()} == {
+        ("id", "name"): 1, ("city", "id", "name", "more"): 2, ("id", "full, name", "city"): 1
+    }
+    assert csv_files(spark, f"{versions}/nothing") == [] and by_header(spark, []) == {}
+    assert header_of(spark, f"{versions}/empty.csv") == ()
+
+
+def test_versions_are_united_by_name(spark, versions):
+    found = read_versions(spark, versions, SCHEMA, ["id", "name"], {"full, name": "name"}, "sample_date")
+    assert cells(found) == [
+        ("1", "Ann", None, "20150101"), ("2", "Bob", "Rome", "20150201"),
+        ("3", "Cy", "Oslo", "20150201"), ("4", "Di", "Bonn", "20150301"),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+
+
+def test_what_versions_refuse(spark, versions, tmp_path):
+    with pytest.raises(ValueError, match="missing in .*a.csv: name"):
+        read_versions(spark, versions, SCHEMA, ["id", "name"])
+    with pytest.raises(ValueError, match="twice"):
+        read_versions(spark, versions, SCHEMA, renamed={"more": "city"})
+    with pytest.raises(ValueError, match="no CSV"):
+        read_versions(spark, f"{tmp_path}/none", SCHEMA)
+    put(f"{tmp_path}/w/a.csv", "id,name,city", "1,a")
+    with pytest.raises(Exception, match="Malformed|MALFORMED|FAILED_READ_FILE"):
+        read_versions(spark, f"{tmp_path}/w", SCHEMA).collect()

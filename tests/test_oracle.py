@@ -1,11 +1,12 @@
-"""Every registered query against its SQL, at the smallest scale."""
+"""Every query of the warehouse against its SQL, at the smallest scale."""
 
 import os
 
 import pytest
 
-import __spark_entry__ as contract
 from workload.compare import connect, difference
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,11 +17,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    ours = contract.queries()[name](spark, SF_DIR).toArrow()
-    theirs = duck.sql(contract.oracle_sql()[name]).to_arrow_table()
+    ours = QUERIES[name](spark, SF_DIR).toArrow()
+    theirs = duck.sql(ORACLE[name]).to_arrow_table()
     assert difference(ours, theirs) is None

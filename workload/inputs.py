@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.functions.dates import instant
+from starload.functions.dates import instant, slice_key
 
 # Load dates and the order-date range each load covers (None: unbounded).
 PERIODS = (
@@ -93,6 +93,22 @@ def customer_snapshot(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
     )
 
 
+def monthly_customer_snapshots(t: Tables) -> DataFrame:
+    """Typed snapshots of all months: customers with an order in the month before the sample date."""
+    last = F.expr("max(struct(o_orderdate, o_orderkey, o_orderpriority)) AS last")
+    month = slice_key(F.col("o_orderdate")).alias("sample_date")
+    orders = t.orders.groupBy("o_custkey", month).agg(last)
+    joined = t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey"))
+    return joined.selectExpr(
+        "sample_date",
+        "CAST(c_custkey AS INT) AS CustomerId",
+        "c_name AS customer_nm",
+        "c_mktsegment AS segment_nm",
+        "c_nationkey AS nation_no",
+        "last.o_orderpriority AS priority_cd",
+    )
+
+
 def pair_snapshot(t: Tables, lo: str | None, hi: str | None) -> DataFrame:
     """Typed snapshot with a composite key: parts by supplier shipped in the period."""
     return (

@@ -173,16 +173,26 @@ def history(
     version: bool = False,
     processed: str = "process_dttm",
 ) -> str:
-    """History after loading ``(timestamp, snapshot)`` pairs in date order.
+    """History after loading ``(timestamp, snapshot)`` pairs in date order."""
+    stacked = " UNION ALL ".join(f"SELECT {at} AS loaded_at, s.* FROM ({sql}) s" for at, sql in snapshots)
+    return stacked_history(stacked, surrogate, key, attributes, version, processed)
+
+
+def stacked_history(
+    stacked: str,
+    surrogate: str,
+    key: list[str],
+    attributes: list[str],
+    version: bool = False,
+    processed: str = "process_dttm",
+) -> str:
+    """History after loading all snapshots of a query with their dates ``loaded_at``.
 
     Only presences whose attributes differ from the presence before start a row;
     keys are numbered by first load and key.
     """
     keys = ", ".join(key)
-    stacked = " UNION ALL ".join(
-        f"SELECT {i} AS load_no, {at} AS loaded_at, s.* FROM ({sql}) s" for i, (at, sql) in enumerate(snapshots)
-    )
-    by_load = f"OVER (PARTITION BY {keys} ORDER BY load_no)"
+    by_load = f"OVER (PARTITION BY {keys} ORDER BY loaded_at)"
     differs = " OR ".join(f"{a} IS DISTINCT FROM LAG({a}) {by_load}" for a in attributes)
     numbered = f", CAST(ROW_NUMBER() {by_load} AS INTEGER) AS version_no" if version else ""
     return f"""
@@ -190,8 +200,8 @@ def history(
            {keys}, {', '.join(attributes)}, loaded_at AS valid_from_dttm,
            COALESCE(LEAD(loaded_at) {by_load}, {OPEN}) AS valid_to_dttm,
            {STAMPED} AS {processed}{numbered}
-    FROM (SELECT *, LAG(load_no) {by_load} IS NULL OR {differs} AS starts,
-                 MIN(load_no) OVER (PARTITION BY {keys}) AS first_load
+    FROM (SELECT *, LAG(loaded_at) {by_load} IS NULL OR {differs} AS starts,
+                 MIN(loaded_at) OVER (PARTITION BY {keys}) AS first_load
           FROM ({stacked}) loads) flagged
     WHERE starts"""
 
@@ -346,6 +356,15 @@ KEYED_LOAD_BY_LOAD = stage_sales(
     _keys_of(TERRITORY_LOADS, "TerritoryId", "territory_rk"),
 )
 
+MONTHLY_CUSTOMERS = """
+    SELECT date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS loaded_at,
+           CAST(c_custkey AS INTEGER) AS CustomerId, c_name AS customer_nm, c_mktsegment AS segment_nm,
+           c_nationkey AS nation_no, o_orderpriority AS priority_cd
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate)
+                                       ORDER BY o_orderdate DESC, o_orderkey DESC) AS back
+          FROM orders) ranked JOIN customer ON c_custkey = o_custkey
+    WHERE back = 1"""
+
 SLICE = "strftime(date_trunc('month', strptime(OrderDate, '%m/%d/%Y')) + INTERVAL 1 MONTH, '%Y%m%d')"
 SLICED = f"SELECT raw.*, {SLICE} AS sample_date FROM ({raw_sales()}) raw"
 
@@ -395,6 +414,21 @@ KEYED_SLICE_BY_SLICE = stage_sales(
 )
 
 
+def _sold_by_month(key: str, name: str, surrogate: str) -> str:
+    """Keys in the order in which the slices of all months meet them."""
+    return f"""
+    SELECT {name}, CAST(1000 + ROW_NUMBER() OVER (ORDER BY first_month, {name}) AS INTEGER) AS {surrogate}
+    FROM (SELECT CAST({key} AS INTEGER) AS {name}, MIN(sample_date) AS first_month
+          FROM ({SLICED}) s GROUP BY 1) f"""
+
+
+KEYED_MONTH_BY_MONTH = stage_sales(
+    _sold_by_month("CustomerKey", "CustomerId", "customer_rk"),
+    _sold_by_month("ProductKey", "ProductId", "product_rk"),
+    _sold_by_month("TerritoryKey", "TerritoryId", "territory_rk"),
+)
+
+
 def _batches(column: str) -> str:
     cases = " ".join(
         f"WHEN {_within(column, lo, hi)} THEN '{name}'" for name, lo, hi in PERIODS
@@ -408,6 +442,19 @@ def _totals(sums: list[str], counts: list[str]) -> str:
     return ", ".join(parts)
 
 
+PAIRS = history(
+    [(D[p], pair_snapshot(p)) for p in (0, REST)],
+    "pair_rk",
+    ["ProductId", "SupplierId"],
+    ["flag_cd", "quantity_no"],
+)
+
+
+def _with_hash(sql: str, names: list[str]) -> str:
+    texts = ", ".join(f"CAST({n} AS VARCHAR)" for n in names)
+    return f"SELECT h.*, md5(concat_ws('|', {texts})) AS row_hash FROM ({sql}) h"
+
+
 _FINGERPRINTED = ["CAST(c_custkey AS VARCHAR)", "c_name", "CAST(c_nationkey AS VARCHAR)", "NULLIF(c_mktsegment, 'BUILDING')"]
 
 ORACLE: dict[str, str] = {
@@ -461,12 +508,7 @@ ORACLE: dict[str, str] = {
     "scd2_first_load": customers(ALL),
     "scd2_versioned": customers(0, REST, version=True),
     "scd2_second_month": customers(0, 1, 2, version=True),
-    "scd2_composite_key": history(
-        [(D[p], pair_snapshot(p)) for p in (0, REST)],
-        "pair_rk",
-        ["ProductId", "SupplierId"],
-        ["flag_cd", "quantity_no"],
-    ),
+    "scd2_composite_key": PAIRS,
     "scd2_same_date_rerun": customers(0, REST, version=True),
     "scd2_same_date_correction": CORRECTED,
     "scd2_late_snapshot": LATE,
@@ -486,6 +528,29 @@ ORACLE: dict[str, str] = {
     "scd2_rejected": f"SELECT * FROM ({NULL_KEYS}) n WHERE CustomerId IS NULL",
     "scd2_literal_rerun": _literal(customers(0, REST), REST),
     "scd2_literal_late": _literal(customers(0, 2), 1),
+    "scd2_bucketed_pairs": PAIRS,
+    "dimension_load_bucketed": _warehouse_history("customer", CUSTOMER_LOADS),
+    "scd2_fingerprinted": _with_hash(customers(0, 1, 2, version=True), ["CustomerId", *CUSTOMER_ATTRIBUTES]),
+    "scd2_fingerprinted_pairs": _with_hash(PAIRS, ["ProductId", "SupplierId", "flag_cd", "quantity_no"]),
+    "scd2_new_keys_filtered": f"""
+        SELECT * FROM ({pair_snapshot(REST)}) s
+        WHERE (ProductId, SupplierId) NOT IN (SELECT ProductId, SupplierId FROM ({pair_snapshot(0)}) t)""",
+    "dimension_load_filtered": _warehouse_history("customer", CUSTOMER_LOADS),
+    "backfill_history": customers(0, 1, 2, version=True),
+    "backfill_onto_history": customers(0, 1, 2, version=True),
+    "backfill_composite_key": PAIRS,
+    "backfill_every_month": stacked_history(
+        MONTHLY_CUSTOMERS, "customer_rk", ["CustomerId"], CUSTOMER_ATTRIBUTES, version=True
+    ),
+    "backfill_rejected": " UNION ALL ".join(
+        f"""SELECT CAST(NULL AS INTEGER) AS CustomerId, {', '.join(CUSTOMER_ATTRIBUTES)}, '{PERIODS[p][0]}' AS sample_date
+            FROM ({customer_snapshot(p)}) s WHERE segment_nm = 'BUILDING'"""
+        for p in range(len(PERIODS))
+    ),
+    "backfill_load": f"SELECT k.*, {STAMPED} AS processed_dttm FROM ({KEYED_LOAD_BY_LOAD}) k",
+    "backfill_load_product": _warehouse_history("product", PRODUCT_LOADS),
+    "backfill_after_load": _warehouse_history("customer", CUSTOMER_LOADS),
+    "backfill_slices": f"SELECT k.*, {STAMPED} AS processed_dttm FROM ({KEYED_MONTH_BY_MONTH}) k",
     "sample_date_list": """
         SELECT DISTINCT strftime(o_orderdate, '%Y%m01') AS sample_date
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -502,6 +567,27 @@ ORACLE: dict[str, str] = {
     "csv_raw_scan_awkward": """
         SELECT CAST(p_partkey AS VARCHAR) AS ProductKey,
                p_brand || chr(10) || '"' || p_type || '", ' || p_name || ',' AS ProductName FROM part""",
+    "csv_damaged_rows": """
+        SELECT CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'bad' ELSE 'good' END AS kind,
+               CASE WHEN o_orderkey % 5 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus)
+                    WHEN o_orderkey % 7 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority, 'x')
+                    WHEN o_orderkey % 11 = 0
+                    THEN concat(o_orderkey, ',"', o_custkey, ',', o_orderstatus, ',', o_orderpriority)
+                    ELSE concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) END AS text
+        FROM orders""",
+    "load_damaged_feed": """
+        SELECT CASE WHEN n_regionkey <> 1 THEN CAST(n_nationkey AS INTEGER) END AS TerritoryId,
+               CASE WHEN n_regionkey <> 1 THEN n_name ELSE concat_ws(',', n_nationkey, n_name, n_name) END AS text
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "csv_header_versions": f"""
+        SELECT * REPLACE (CASE WHEN sample_date >= '19980101' THEN StockDate END AS StockDate) FROM ({SLICED}) s""",
+    "month_slices_stored": SLICED,
+    "keys_clustered": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "report_by_batch": f"""
+        SELECT OrderDate, {_totals(
+            ['product_rk', 'customer_rk', 'territory_rk', 'OrderLineItem', 'OrderQuantity'],
+            ['ProductId', 'CustomerId', 'TerritoryId'])}
+        FROM ({KEYED_LOAD_BY_LOAD}) k GROUP BY OrderDate""",
     "dimension_load_duplicates": _warehouse_history("customer", [stage_customer()]),
     "dimension_load_rejected": f"""
         SELECT LastName, '{PERIODS[0][0]}' AS sample_date FROM ({stage_customer()}) s""",

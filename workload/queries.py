@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,14 @@ from pyspark.sql import functions as F
 
 from starload.functions.dates import US_DATE_FORMAT, instant, us_date, us_date_from_parts
 from starload.functions.fingerprint import row_hash
+from starload.functions.keyfilter import FilterShape, build_filter
+from starload.operators.backfill import scd2_backfill
 from starload.operators.facts import with_load_stamp
+from starload.operators.fingerprinted import scd2_merge_fingerprinted, with_fingerprint
 from starload.operators.keys import assign_surrogate_keys, max_key
 from starload.operators.lookup import one_row_per_key
 from starload.operators.scd2 import (
+    KeyFilter,
     Scd2Result,
     Scd2Spec,
     changed_rows,
@@ -22,22 +27,37 @@ from starload.operators.scd2 import (
     scd2_merge,
     unchanged_rows,
 )
-from starload.operators.slicing import sample_dates, slice_by_month, slice_month
+from starload.operators.slicing import SAMPLE_DATE, sample_dates, slice_all_months, slice_by_month, slice_month
 from starload.operators.standardize import retype
 from starload.operators.summarize import auto_summarize
 from starload.plans.jobs import (
     DIMENSIONS,
     Warehouse,
+    backfill_dimension,
+    backfill_months,
     export_months,
     load_dimension,
     load_entity,
     load_staging,
+    read_report,
     run_month,
+    store_report,
     together,
 )
 from starload.plans.staging import stage_customer, stage_product, stage_sales, stage_territory
 from starload.schemas import columns, empty_frame, empty_table, schema_of
-from starload.sources.csv_feed import FEED_STEMS, read_csv, read_slices, write_csv, write_feed
+from starload.sources.buckets import Buckets, dealt, read_buckets, write_buckets
+from starload.sources.clustered import read_by_month, slices_of, store_by_month, write_clustered
+from starload.sources.csv_checked import read_split, read_versions
+from starload.sources.csv_feed import (
+    FEED_STEMS,
+    feed_path,
+    read_csv,
+    read_slices,
+    write_csv,
+    write_feed,
+    write_slices,
+)
 from starload.sources.scratch import materialize, scratch_path
 from starload.sources.tables import (
     append_table,
@@ -60,6 +80,7 @@ from workload.inputs import (
     in_period,
     in_period_of,
     money,
+    monthly_customer_snapshots,
     pair_snapshot,
     raw_category,
     raw_customer,
@@ -409,6 +430,146 @@ def scd2_literal_late(t: Tables) -> DataFrame:
     return _merge(_snapshot(t, 1), _history(t, (0, 2)), LITERAL, 1).full
 
 
+# histories in buckets, with fingerprints, with key filters
+
+
+def _pair_dimension(t: Tables) -> DataFrame:
+    name, lo, hi = CUTS[0]
+    first = materialize(pair_snapshot(t, lo, hi), "snapshot")
+    return scd2_merge(first, empty_frame(t.spark, _PAIR), PAIR, name, stamp()).full
+
+
+def _second_pairs(t: Tables) -> DataFrame:
+    return materialize(pair_snapshot(t, *CUTS[REST][1:]), "snapshot")
+
+
+@query
+def scd2_bucketed_pairs(t: Tables) -> DataFrame:
+    """A history in buckets of its composite key meets a snapshot; only the snapshot moves."""
+    buckets, path = Buckets(8, PAIR.business_key), scratch_path(t.spark, "pair_dim")
+    write_buckets(dealt(_pair_dimension(t), buckets), path, buckets)
+    target = read_buckets(t.spark, path, _PAIR, buckets)
+    return scd2_merge(_second_pairs(t), target, PAIR, CUTS[REST][0], stamp()).full_in_buckets(buckets)
+
+
+@query
+def dimension_load_bucketed(t: Tables) -> DataFrame:
+    wh = replace(_warehouse(t, ("customer",)), buckets=4)
+    for name, _, _ in PERIODS:
+        load_entity(wh, "customer", name, stamp())
+    return wh.dimension("customer")
+
+
+@query
+def scd2_fingerprinted(t: Tables) -> DataFrame:
+    """Three loads into a history that stores its fingerprints, which are returned too."""
+    target = with_fingerprint(empty_frame(t.spark, _VERSIONED), VERSIONED)
+    for period in (0, 1, 2):
+        merged = scd2_merge_fingerprinted(_snapshot(t, period), target, VERSIONED, CUTS[period][0], stamp())
+        target = materialize(merged.full, "dim")
+    return target
+
+
+@query
+def scd2_fingerprinted_pairs(t: Tables) -> DataFrame:
+    target = materialize(with_fingerprint(_pair_dimension(t), PAIR), "dim")
+    return scd2_merge_fingerprinted(_second_pairs(t), target, PAIR, CUTS[REST][0], stamp()).full
+
+
+@query
+def scd2_new_keys_filtered(t: Tables) -> DataFrame:
+    """New pairs by a filter so small that most known and many new keys collide."""
+    target = materialize(_pair_dimension(t), "dim")
+    shape = FilterShape(1, hashes=1)
+    key_filter = KeyFilter(build_filter(target, PAIR.business_key, shape), shape)
+    return new_rows(_second_pairs(t), target, PAIR, key_filter)
+
+
+@query
+def dimension_load_filtered(t: Tables) -> DataFrame:
+    wh = replace(_warehouse(t, ("customer",)), filter_bits=12)
+    for name, _, _ in PERIODS:
+        load_entity(wh, "customer", name, stamp())
+    return wh.dimension("customer")
+
+
+# many dates at once
+
+
+def _snapshots(t: Tables, periods: tuple[int, ...], snapshot=customer_snapshot) -> DataFrame:
+    """Stored snapshots of some periods in one table, with their dates."""
+    parts = [
+        snapshot(t, lo, hi).withColumn("sample_date", F.lit(name))
+        for name, lo, hi in (CUTS[p] for p in periods)
+    ]
+    return materialize(reduce(DataFrame.unionByName, parts), "snapshots")
+
+
+@query
+def backfill_history(t: Tables) -> DataFrame:
+    target = empty_frame(t.spark, _VERSIONED)
+    return scd2_backfill(_snapshots(t, (0, 1, 2)), target, VERSIONED, processed=stamp()).full
+
+
+@query
+def backfill_onto_history(t: Tables) -> DataFrame:
+    """Two more dates at once onto a history of one load."""
+    target = _history(t, (0,), VERSIONED)
+    return scd2_backfill(_snapshots(t, (1, 2)), target, VERSIONED, processed=stamp()).full
+
+
+@query
+def backfill_composite_key(t: Tables) -> DataFrame:
+    snapshots = _snapshots(t, (0, REST), pair_snapshot)
+    return scd2_backfill(snapshots, empty_frame(t.spark, _PAIR), PAIR, processed=stamp()).full
+
+
+@query
+def backfill_every_month(t: Tables) -> DataFrame:
+    """A snapshot for each of 80 months, in the form of the last order of a customer in it."""
+    snapshots = materialize(monthly_customer_snapshots(t), "snapshots")
+    return scd2_backfill(snapshots, empty_frame(t.spark, _VERSIONED), VERSIONED, processed=stamp()).full
+
+
+@query
+def backfill_rejected(t: Tables) -> DataFrame:
+    """Rows without a key among the snapshots of all dates."""
+    key = F.when(F.col("segment_nm") != "BUILDING", F.col("CustomerId"))
+    snapshots = _snapshots(t, (0, 1, 2)).withColumn("CustomerId", key)
+    return scd2_backfill(snapshots, empty_frame(t.spark, _CUSTOMER), PLAIN, processed=stamp()).rejected
+
+
+@query
+def backfill_load(t: Tables) -> DataFrame:
+    """Raw feeds of all periods to facts, all periods at once."""
+    wh = _warehouse(t, tuple(FEED_STEMS))
+    return backfill_months(wh, [name for name, _, _ in PERIODS], stamp(), stamp())
+
+
+@query
+def backfill_load_product(t: Tables) -> DataFrame:
+    wh = _warehouse(t, ("product", "product_subcategory", "product_category"))
+    return backfill_dimension(wh, "product", [name for name, _, _ in PERIODS], stamp())
+
+
+@query
+def backfill_after_load(t: Tables) -> DataFrame:
+    """One load by itself, the later dates at once."""
+    wh = _warehouse(t, ("customer",))
+    load_entity(wh, "customer", PERIODS[0][0], stamp())
+    return backfill_dimension(wh, "customer", [name for name, _, _ in PERIODS[1:]], stamp())
+
+
+@query
+def backfill_slices(t: Tables) -> DataFrame:
+    """The six feeds of 80 months exported as slices, then loaded at once."""
+    path = scratch_path(t.spark, "exported")
+    export_months(_slices(t, stored=True), path)
+    months = sample_dates(raw_sales(t), us_date(F.col("OrderDate")), following=True).collect()
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), path, layout="slices")
+    return backfill_months(wh, [r["sample_date"] for r in months], stamp(), stamp())
+
+
 # monthly slices
 
 
@@ -539,6 +700,92 @@ def csv_raw_scan_awkward(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, rows.schema, multi_line=True)
 
 
+# feeds that are not as they should be
+
+
+def _write_lines(df: DataFrame, header: str, path: str) -> None:
+    """Write ready-made CSV lines below a header, without a writer's own quoting."""
+    lines = df.select(F.col("line").alias(header))
+    lines.write.options(header=True, sep="\u0001", quote="\u0000").csv(path)
+
+
+_ORDER_FEED = columns("OrderKey string, CustomerKey string, Status string, Priority string")
+
+
+def _damaged_orders(t: Tables) -> DataFrame:
+    """A line for every order: some lack a cell, have one too many, or an open quote."""
+    return t.orders.selectExpr(
+        """CASE WHEN o_orderkey % 5 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus)
+                WHEN o_orderkey % 7 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority, 'x')
+                WHEN o_orderkey % 11 = 0 THEN concat(o_orderkey, ',"', o_custkey, ',', o_orderstatus, ',', o_orderpriority)
+                ELSE concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) END AS line"""
+    )
+
+
+@query
+def csv_damaged_rows(t: Tables) -> DataFrame:
+    """All orders as a feed with damaged lines: cells of the good ones, text of the others."""
+    path = scratch_path(t.spark, "damaged.csv")
+    _write_lines(_damaged_orders(t), ",".join(_ORDER_FEED.names), path)
+    split = read_split(t.spark, path, _ORDER_FEED)
+    good = split.good.select(F.lit("good").alias("kind"), F.concat_ws("|", *_ORDER_FEED.names).alias("text"))
+    return good.unionByName(split.bad.select(F.lit("bad").alias("kind"), F.col("record").alias("text")))
+
+
+@query
+def load_damaged_feed(t: Tables) -> DataFrame:
+    """A territory feed with damaged lines, loaded twice: typed rows, and rows set aside."""
+    wh = replace(_warehouse(t, ()), bad_rows="aside")
+    line = """CASE WHEN n_regionkey = 1 THEN concat_ws(',', n_nationkey, n_name, n_name)
+                   ELSE concat_ws(',', n_nationkey, n_name, n_name, r_name) END AS line"""
+    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(line)
+    path = feed_path(wh.raw_root, "territory", PERIODS[0][0])
+    _write_lines(rows, ",".join(schema_of("ods", "territory").names), path)
+    for _ in range(2):
+        load_entity(wh, "territory", PERIODS[0][0], stamp())
+    aside = t.spark.read.parquet(wh.path("bad", "territory"))
+    return wh.dimension("territory").select("TerritoryId", F.col("Region").alias("text")).unionByName(
+        aside.select(F.lit(None).cast("int").alias("TerritoryId"), F.col("record").alias("text"))
+    )
+
+
+@query
+def csv_header_versions(t: Tables) -> DataFrame:
+    """The sales of all months in three versions of the header, read as one feed."""
+    path, schema = scratch_path(t.spark, "versions"), schema_of("ods", "sales")
+    sales = materialize(slice_all_months(raw_sales(t), us_date(F.col("OrderDate"))), "sliced")
+    first = sales.where("sample_date < '19980101'").drop("StockDate")
+    second = sales.where("sample_date >= '19980101' AND sample_date < '20000101'")
+    second = second.select(*reversed(second.columns), F.lit("web").alias("Channel"))
+    third = sales.where("sample_date >= '20000101'").withColumnRenamed("OrderQuantity", "Quantity")
+    for name, part in (("a", first), ("b", second), ("c", third)):
+        write_slices(part, f"{path}/{name}")
+    required = ["OrderNumber", "OrderQuantity"]
+    return read_versions(t.spark, path, schema, required, {"Quantity": "OrderQuantity"}, SAMPLE_DATE)
+
+
+# layouts that are read in part
+
+
+@query
+def month_slices_stored(t: Tables) -> DataFrame:
+    """Sales stored by month; the slices of all months are found by their dates."""
+    path, day = scratch_path(t.spark, "by_month"), us_date(F.col("OrderDate"))
+    sales = raw_sales(t)
+    store_by_month(sales, day, path)
+    stored = read_by_month(t.spark, path, sales.schema)
+    return slices_of(stored, sample_dates(raw_sales(t), day, following=True))
+
+
+@query
+def keys_clustered(t: Tables) -> DataFrame:
+    """Every order stored in ranges of its customer, with filters on both keys, and read back."""
+    path = scratch_path(t.spark, "clustered")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_clustered(rows, path, ["o_custkey", "o_orderkey"], 4)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 # jobs
 
 
@@ -625,6 +872,22 @@ def auto_summarize_fact(t: Tables) -> DataFrame:
     return auto_summarize(stage_sales(raw_sales(t), *dims), ["OrderDate"])
 
 
+@query
+def report_by_batch(t: Tables) -> DataFrame:
+    """A report kept batch by batch; the second batch is first loaded in part, then again."""
+    wh = _warehouse(t, tuple(FEED_STEMS))
+    for name, _, _ in PERIODS:
+        run_month(wh, name, stamp(), stamp())
+        store_report(wh, "sales_by_day", name, ["OrderDate"])
+    again = PERIODS[1][0]
+    whole = materialize(wh.facts().where(F.col("sample_date") == again).drop("sample_date"), "batch")
+    replace_batch(whole.where("OrderQuantity < 20"), wh.path("dwh", "sales"), "sample_date", again)
+    store_report(wh, "sales_by_day", again, ["OrderDate"])
+    replace_batch(whole, wh.path("dwh", "sales"), "sample_date", again)
+    store_report(wh, "sales_by_day", again, ["OrderDate"])
+    return read_report(wh, "sales_by_day", ["OrderDate"])
+
+
 @query
 def auto_summarize_dim(t: Tables) -> DataFrame:
     dim = _first_dimension(t, "customer", None, None)
