@@ -40,10 +40,48 @@ WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: Characters that Python's split() takes for white space and Unicode doesn't.
 NOT_WHITE = regex.compile("[\\x1c-\\x1f]")
 
+# Letters and numbers that Unicode 16 has beyond 15.1, as first and last character,
+# and capitals newer than 15.1 with their small letters (a range by the distance to them).
+LETTERS_16 = (
+    "\u1c89\u1c8a \ua7cb\ua7cd \ua7da\ua7dc \U000105c0\U000105f3 \U00010d4a\U00010d65 \U00010d6f\U00010d85 "
+    "\U00010ec2\U00010ec4 \U00011380\U00011389 \U0001138b\U0001138b \U0001138e\U0001138e \U00011390\U000113b5 "
+    "\U000113b7\U000113b7 \U000113d1\U000113d1 \U000113d3\U000113d3 \U00011bc0\U00011be0 \U00013460\U000143fa "
+    "\U00016100\U0001611d \U00016d40\U00016d6c \U00018cff\U00018cff \U0001e5d0\U0001e5ed \U0001e5f0\U0001e5f0"
+)
+NUMBERS_16 = (
+    "\U00010d40\U00010d49 \U000116d0\U000116e3 \U00011bf0\U00011bf9 \U00016130\U00016139 "
+    "\U00016d70\U00016d79 \U0001ccf0\U0001ccf9 \U0001e5f1\U0001e5fa"
+)
+SMALL_LETTERS = {
+    **{c: c + 1 for c in (0x1C89, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)},
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+    0xA7CB: 0x264,
+    0xA7DC: 0x19B,
+}
+NEWER_CAPITALS = regex.compile("[" + "".join(map(chr, SMALL_LETTERS)) + "]")
+
 ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 DECODED = T.StructType([T.StructField("text", T.StringType())])
 
 
+def character_class(kind: str, added: str) -> str:
+    """Inside of a set: the characters of general category ``kind`` in Unicode 16.
+
+    The pattern's own classes follow the Unicode version of whatever engine reads them; the
+    tokenizer's is 16. Python's tables are of 15.1 and lack what ``added`` names.
+    """
+    new = {c for a, b in added.split() for c in range(ord(a), ord(b) + 1)}
+    ranges: list[list[int]] = []
+    for c in range(0x110000):
+        if unicodedata.category(chr(c))[0] == kind or c in new:
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
 def byte_characters() -> list[str]:
     """Printable stand-in for each byte: itself where it prints, else the next free code point."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -83,7 +121,10 @@ def load_vocabulary(path: str) -> Vocabulary:
         if i in parts:
             raise ValueError(f"token {i} has two merges")
         parts[i], ranks[i], keys[i] = (a, b), rank, keys[a] + keys[b]
-    return Vocabulary(tuple(tokens), tuple(keys), parts, ranks, special, split["pattern"]["Regex"])
+    pattern = split["pattern"]["Regex"]
+    for name, kind, added in (("\\p{L}", "L", LETTERS_16), ("\\p{N}", "N", NUMBERS_16)):
+        pattern = pattern.replace(name, character_class(kind, added))
+    return Vocabulary(tuple(tokens), tuple(keys), parts, ranks, special, pattern)
 
 
 class Encoder:
@@ -213,6 +254,8 @@ class Tokenizer:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower() looks at the end of words
         text = text.lower()
+        if not text.isascii() and NEWER_CAPITALS.search(text):
+            text = text.translate(SMALL_LETTERS)
         pieces = self.spaces.split(text) if NOT_WHITE.search(text) else text.split()
         return b"".join(map(self.pieces.__getitem__, pieces))
 

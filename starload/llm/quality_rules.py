@@ -160,28 +160,64 @@ class RuleModel:
     posterior: dict[str, float] = field(repr=False)
 
 
+#: Anchors of the two classes. Good documents are held to be this share of a table before any
+#: vote, and never less than the least share; a vote is first held to be four times as
+#: likely in the class it speaks for, and never held to speak against it, nor for it by more than
+#: the largest ratio.
+GOOD_SHARE, LEAST_SHARE, MOST_SHARE = 0.85, 0.6, 0.99
+FIRST_RATIO, MOST_RATIO = 4.0, 99.0
+
+
+def _anchor(rate: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """First rates of a vote in the class it speaks for, of this ``share``, and in the other.
+
+    Their mean is the rate seen. A vote that is cast more often than its class can account
+    for is cast on the other class too, so it says little.
+    """
+    own = np.minimum(0.99, FIRST_RATIO * rate / (FIRST_RATIO * share + 1 - share))
+    return own, np.clip((rate - share * own) / (1 - share), 1e-3, 1.0)
+
+
 def estimate(counts: dict[str, int], rules: tuple[Rule, ...] = RULES, rounds: int = 50) -> RuleModel:
     """Expectation-maximisation over vote patterns.
 
-    A rule that votes is right with its accuracy; an abstention says nothing. The prior
-    counts (8 right of 10 votes, 85 good of 100 documents, each a hundredth of the rows)
-    name the two classes and hold rules that seldom vote near 0.8.
+    Each rule has a rate of accepting and of rejecting votes in either class; an abstention
+    says nothing. The first rates count as a hundredth of the rows. A rule that rejects most
+    rows of a table speaks about most good ones too, so its vote loses weight, and the
+    classes can't change places: good documents stay the larger class, and no vote comes to
+    mean its opposite. A row without votes has the share of good documents as its posterior.
     """
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
     votes = np.array([["-0+".index(c) - 1 for c in p] for p in patterns], float).reshape(-1, len(rules))
-    weight = max(1.0, n.sum()) / 100
-    accuracy, prior = np.full(len(rules), 0.8), 0.85
-    good = np.zeros(len(patterns))
+    accepts, rejects = (votes > 0).astype(float), (votes < 0).astype(float)
+    total = max(1.0, n.sum())
+    weight = total / 100
+    first_accept = _anchor(n @ accepts / total, GOOD_SHARE)
+    first_reject = _anchor(n @ rejects / total, 1 - GOOD_SHARE)
+    accept, reject = first_accept, first_reject
+    prior, good = GOOD_SHARE, np.zeros(len(patterns))
     for _ in range(rounds):
-        odds = np.log(prior) - np.log1p(-prior) + votes @ (np.log(accuracy) - np.log1p(-accuracy))
+        for_good = np.log(np.clip(accept[0] / accept[1], 1, MOST_RATIO))
+        for_bad = np.log(np.clip(reject[0] / reject[1], 1, MOST_RATIO))
+        odds = np.log(prior) - np.log1p(-prior) + accepts @ for_good - rejects @ for_bad
         good = 1 / (1 + np.exp(-odds))
-        right = n @ np.where(votes > 0, good[:, None], np.where(votes < 0, 1 - good[:, None], 0))
-        cast = n @ np.abs(votes)
-        accuracy = np.clip((right + 0.8 * weight) / (cast + weight), 0.55, 0.99)
-        prior = (n @ good + 0.85 * weight) / (n.sum() + weight)
+        is_good, is_bad = n @ good, n @ (1 - good)
+        in_good, in_bad = n * good, n * (1 - good)
+        accept = (
+            (in_good @ accepts + weight * first_accept[0]) / (is_good + weight),
+            (in_bad @ accepts + weight * first_accept[1]) / (is_bad + weight),
+        )
+        reject = (
+            (in_bad @ rejects + weight * first_reject[0]) / (is_bad + weight),
+            (in_good @ rejects + weight * first_reject[1]) / (is_good + weight),
+        )
+        prior = float(np.clip((is_good + GOOD_SHARE * weight) / (total + weight), LEAST_SHARE, MOST_SHARE))
+    right = (n * good) @ accepts + (n * (1 - good)) @ rejects
+    cast = n @ (accepts + rejects)
+    accuracy = np.where(cast > 0, right / np.maximum(cast, 1), 0.0)
     return RuleModel(
-        float(prior),
+        prior,
         {r.name: float(a) for r, a in zip(rules, accuracy, strict=True)},
         dict(zip(patterns, map(float, good), strict=True)),
     )
@@ -206,10 +242,11 @@ def verdicts(features: DataFrame, model: RuleModel, name: str = "rule_features",
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns only."""
-    columns = docs.columns
-    features = with_features(docs, text)
-    model = fit(with_features(docs.select(text), text, drop_text=True))
-    return verdicts(features, model).where("rule_verdict.kept").select(*columns)
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("rule_features", "rule_verdict")}
+    # each text goes through Python once; estimating reads the counts, not the texts
+    features = materialize(with_features(docs.withColumnsRenamed(own), text), "rule_features")
+    kept = verdicts(features, fit(features.select("rule_features"))).where("rule_verdict.kept")
+    return kept.select([F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

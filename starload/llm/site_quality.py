@@ -12,7 +12,9 @@ one row for each section is joined back.
 A null or empty text has no evidence and gets the posterior of its section. Null sites and
 sections are sites and sections of their own. Without labels nothing is rejected. Rows that
 repeat an id in ``labels`` count once, by their largest toxic and smallest quality value;
-null labels teach nothing. Repeated documents are judged alike; extra columns pass through.
+null labels teach nothing. Of several texts under one labelled id one is learnt from, the same
+in every run. Repeated documents are judged alike; extra columns pass through, and one called
+like the result column is replaced.
 """
 
 from __future__ import annotations
@@ -171,9 +173,11 @@ def fit_evidence(
     wanted = docs.select(F.col(identity).alias("label_id")).join(known, "label_id").distinct()
     sample = wanted.orderBy(F.xxhash64("label_id"), "label_id").limit(settings.sample)
     texts = docs.select(F.col(identity).alias("label_id"), F.col(text).cast("string").alias("text"))
-    labelled = materialize(
-        texts.join(F.broadcast(sample), "label_id").where(F.col("text").isNotNull()), "labelled_sample"
-    )
+    # of several texts under one id the one with the smallest digest, so that reruns agree
+    known_texts = texts.join(F.broadcast(sample), "label_id").where(F.col("text").isNotNull())
+    one = F.min(F.struct(F.md5("text").alias("digest"), "text")).alias("one")
+    labelled = known_texts.groupBy("label_id", "good", "toxic").agg(one)
+    labelled = materialize(labelled.select("label_id", "good", "toxic", "one.text"), "labelled_sample")
     words = frozenset().union(*(lexicon(labelled, h, settings) for h in HEADS))
     places = {w: i for i, w in enumerate(sorted(words))}
 
@@ -187,7 +191,7 @@ def fit_evidence(
         return run
 
     counted = with_text_columns(labelled, "text", "f", VECTOR, vectors, drop_text=True)
-    rows = counted.dropDuplicates(["label_id"]).orderBy("label_id").collect()  # at most the sample
+    rows = counted.orderBy("label_id").collect()  # at most the sample
     weights, base = {}, {}
     for head in HEADS:
         known_rows = [r for r in rows if r[head] is not None]
@@ -289,8 +293,10 @@ def judge(
     section: str = "lang",
     settings: Settings = Settings(),
     drop_text: bool = False,
+    name: str = "judged",
 ) -> DataFrame:
-    """``docs`` with the struct ``judged``: good and toxic posteriors, those of the section, kept."""
+    """``docs`` with the struct ``name``: good and toxic posteriors, those of the section, kept."""
+    docs = docs.drop(name)
     model = fit_evidence(docs, labels, identity, text, settings)
     keys = [F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("n")) for c in (site, section)]
     narrow = docs.select(identity, text, site, *[section] * (section != site))
@@ -299,11 +305,14 @@ def judge(
         second = first = materialize(first, "evidence")
         passed = [c for c in (identity, site, *[section] * (section != site))]
     else:
-        second, passed = with_evidence(docs, model, text), docs.columns
+        second, passed = with_evidence(docs, model, text, "__evidence"), docs.columns
+        second = second.select(F.struct(*[second[c] for c in passed]).alias("row"), F.col("__evidence").alias("evidence"))
     sections = materialize(site_posteriors(first, model, *keys), "site_posteriors")
-    rows = second.select(
-        F.struct(*[second[c] for c in passed]).alias("row"), "evidence", keys[0].alias("site_key"), keys[1].alias("section_key")
-    ).join(sections, ["site_key", "section_key"])
+    if drop_text:
+        second = second.select(F.struct(*passed).alias("row"), "evidence")
+    of_row = [F.coalesce(F.concat(F.lit("s"), F.col(f"row.{c}").cast("string")), F.lit("n")) for c in (site, section)]
+    rows = second.select("row", "evidence", of_row[0].alias("site_key"), of_row[1].alias("section_key"))
+    rows = rows.join(sections, ["site_key", "section_key"])
     posterior, around = {}, {}
     for h in HEADS:
         own = _logistic(F.col(f"evidence.{h}") + model.base.get(h, 0.0))
@@ -322,13 +331,13 @@ def judge(
             around["good"].alias("section_good"),
             around["toxic"].alias("section_toxic"),
             ((good >= 0.5) & (toxic < 0.5)).alias("kept"),
-        ).alias("judged"),
+        ).alias(name),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    return judge(docs, labels).where("judged.kept").select(*docs.columns)
+    return judge(docs, labels, name="__judged").where("__judged.kept").select(*docs.columns)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
