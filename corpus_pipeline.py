@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import bpe, mixing, near_copies, quality_rules, site_quality
@@ -30,13 +30,17 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; of rows with one id, one."""
-    docs = docs.select(*COLUMNS)
-    found = near_copies.near_copies(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS)))
-    single = docs.join(first, "doc_id", "left_semi").withColumn("place", place).where("place = 1").select(*COLUMNS)
-    return single.unionByName(docs.where("doc_id IS NULL"))
+    """Of each group of near copies the row with the smallest id; rows without an id come last.
+
+    Rows are told apart by a number frozen in files, not by their ids: several texts under
+    one id, and rows without one, are documents like others.
+    """
+    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = near_copies.near_copies(rows.select(F.col("row").alias("doc_id"), "text"))
+    named = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    stay = named.groupBy("component_id").agg(first).select("first.row")
+    return rows.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
