@@ -200,7 +200,15 @@ def test_stage_keeps_one_of_each_group(docs_of):
     docs = docs_of([(3, text), (1, text + " x"), (1, text + " x"), (2, "other words are here today"), (None, text), (5, None)])
     kept = corpus_pipeline.keep_one_copy(None, docs, "")
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 5]
+    # the row without an id is a near copy of others; the two rows with id 1 are one document
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [1, 2, 5]
+
+
+def test_stage_keeps_different_texts_under_one_id(docs_of):
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in "abc"]
+    rows = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[2] + " x"), (9, texts[1])]
+    kept = corpus_pipeline.keep_one_copy(None, docs_of(rows), "").collect()
+    assert sorted((r["doc_id"] or -1, r["text"][0]) for r in kept) == [(-1, "c"), (7, "a"), (7, "b")]
 
 
 def test_prefix_lemma():
@@ -213,13 +221,14 @@ def test_prefix_lemma():
         both = len(np.intersect1d(a, b))
         if 100 * both < 75 * (len(a) + len(b) - both):
             continue
-        costly = rng.random(2000) < rng.choice([0, 0.2, 0.5])
+        held = np.where(rng.random(2000) < rng.choice([0, 0.2, 0.5, 0.95]), rng.integers(3, 60, 2000), 0)
+        costs = near_copies.Costs(np.flatnonzero(held).astype(np.uint64), held[held > 0])
         join = near_copies.Join()
-        (la, na, short_a), (lb, nb, short_b) = (near_copies.prefix(costly[s], join) for s in (a, b))
-        shared = np.intersect1d(a[:la], b[:lb])
-        assert len(shared) >= min(na, nb)
-        counted = ~costly[shared] if not (short_a or short_b) else np.ones(len(shared), bool)
-        assert counted.sum() >= near_copies.base(min(len(a), len(b)), join)
+        (a, of_a), (b, of_b) = (near_copies.in_order(s.astype(np.uint64), costs) for s in (a, b))
+        (la, na), (lb, nb) = (near_copies.prefix(cost, join) for cost in (of_a, of_b))
+        assert len(np.intersect1d(a[:la], b[:lb])) >= min(na, nb) >= near_copies.base(min(len(a), len(b)), join)
+        for elements, cost in ((a, of_a), (b, of_b)):
+            assert (held[elements.astype(int)] == cost).all() and (np.diff(cost) >= 0).all()
 
 
 def test_components_of_long_paths(spark):
