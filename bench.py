@@ -16,16 +16,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.functions.dates import us_date
+from starload.operators.backfill import scd2_backfill
 from starload.operators.keys import assign_surrogate_keys
 from starload.operators.scd2 import scd2_merge
-from starload.plans.jobs import Warehouse, run_month
+from starload.operators.slicing import sample_dates, slice_all_months, slice_by_month
+from starload.plans.jobs import Warehouse, backfill_months, export_months, run_month
 from starload.plans.staging import stage_sales
 from starload.schemas import empty_frame
 from starload.session import session_builder
 from starload.sources.csv_feed import FEED_STEMS, write_feed
 from starload.sources.scratch import materialize, scratch_path
-from workload.inputs import CUTS, PERIODS, REST, Tables, customer_snapshot, pair_snapshot, raw_feed, raw_sales, stamp
-from workload.queries import _PAIR, PAIR, PLAIN, QUERIES, _first_dimensions, _history
+from workload.inputs import (
+    CUTS,
+    PERIODS,
+    REST,
+    Tables,
+    customer_snapshot,
+    monthly_customer_snapshots,
+    pair_snapshot,
+    raw_category,
+    raw_customer,
+    raw_feed,
+    raw_product,
+    raw_sales,
+    raw_subcategory,
+    raw_territory,
+    stamp,
+)
+from workload.queries import _PAIR, _VERSIONED, PAIR, PLAIN, QUERIES, VERSIONED, _first_dimensions, _history
 
 
 def consume(df: DataFrame) -> None:
@@ -84,6 +103,27 @@ def cases(t: Tables) -> dict[str, Callable[[], object]]:
         wh = Warehouse(spark, scratch_path(spark, "wh"), f"{root}/raw")
         run_month(wh, "20020101", stamp(), stamp())
 
+    for feed in FEED_STEMS:
+        for name, lo, hi in PERIODS[:2]:
+            write_feed(raw_feed(t, feed, lo, hi), f"{root}/periods", feed, name)
+    two = Warehouse(spark, scratch_path(spark, "two"), f"{root}/periods")
+    run_month(two, PERIODS[0][0], stamp(), stamp())
+
+    day = us_date(F.col("OrderDate"))
+    dates = [r["sample_date"] for r in sample_dates(sales, day, following=True).limit(25).collect()]
+    early = materialize(slice_all_months(sales, day).where(F.col("sample_date") <= dates[-1]).drop("sample_date"))
+    dims_of = (raw_customer(t), raw_product(t), raw_subcategory(t), raw_category(t), raw_territory(t))
+    export_months(slice_by_month(early, day, *dims_of, store_products=True), f"{root}/slices")
+    long = Warehouse(spark, scratch_path(spark, "long"), f"{root}/slices", layout="slices")
+    backfill_months(long, dates[:24], stamp(), stamp())
+
+    def backfill() -> None:
+        wh = Warehouse(spark, scratch_path(spark, "wh"), f"{root}/slices", layout="slices")
+        backfill_months(wh, dates[:24], stamp(), stamp())
+
+    every_month = materialize(monthly_customer_snapshots(t))
+    versioned = empty_frame(spark, _VERSIONED)
+
     def named(name: str) -> Callable[[], object]:
         return lambda: consume(QUERIES[name](spark, t.sf_dir))
 
@@ -104,6 +144,10 @@ def cases(t: Tables) -> dict[str, Callable[[], object]]:
         ),
         "fact_key_lookup": lambda: consume(stage_sales(sales, *dims)),
         "monthly_load": month,
+        "second_load": lambda: run_month(two, PERIODS[1][0], stamp(), stamp()),
+        "load_after_24_months": lambda: run_month(long, dates[24], stamp(), stamp()),
+        "backfill_24_months": backfill,
+        "scd2_backfill_80": lambda: consume(scd2_backfill(every_month, versioned, VERSIONED, processed=stamp()).full),
     }
     for name in (
         "csv_raw_scan_sales",

@@ -12,9 +12,8 @@ from starload.sources.scratch import materialize
 # Fixed value: the seed of a dimension without rows, so that its first key is 1001.
 EMPTY_SEED = 1000
 
-# Up to so many counted rows one task numbers them; beyond, each range gets about that many.
+# Up to so many counted rows one task numbers them.
 SMALL_ROWS = 100_000
-RANGE_ROWS = 500_000
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row in its low 33 bits
 
@@ -35,41 +34,37 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Number the rows ``seed + 1 … seed + n`` in the order of ``order_by``.
 
-    ``window`` is one global ``row_number``, which sorts everything in one task;
-    ``auto`` stores the rows, counts them, and uses it up to ``SMALL_ROWS``; an estimate
-    of their size is no bound on it. ``range`` sorts
-    within range partitions, numbers locally and adds the number of rows in the
-    partitions before; only these counts, one row per partition, are gathered.
-    The ranged rows are written out first so that both uses see the same partitions.
+    Rows are dealt to ranges of the order, sorted and written out once, with their place in
+    their range; a row's number is that place after the rows of all ranges before. Only the
+    counts of ranges, one row for each, are gathered. Where adaptive execution is on it
+    decides how many ranges a few rows need; ``partitions`` fixes their number.
+
+    ``range`` counts the ranges when the result is read, ``auto`` at once: up to
+    ``SMALL_ROWS`` counted rows, for which an estimate of their size is no bound, are numbered
+    by a ``row_number`` over the file. ``window`` is a global ``row_number`` in any case,
+    which sorts everything in one task.
     """
     if method not in ("auto", "window", "range"):
         raise ValueError(f"unknown numbering method {method!r}")
     base = F.lit(seed).cast("long") if isinstance(seed, int) else seed.cast("long")
-    if method == "auto":
-        df = materialize(df, "unnumbered")
-        rows = df.count()
-        method = "window" if rows <= SMALL_ROWS else "range"
-        partitions = partitions or -(-rows // RANGE_ROWS)
+    in_order = F.row_number().over(Window.orderBy(*order_by))
     if method == "window":
-        number = F.row_number().over(Window.orderBy(*order_by))
-        return df.withColumn(surrogate, base + number)
+        return df.withColumn(surrogate, base + in_order)
 
-    width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(width, *order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("__row", F.monotonically_increasing_id())
-    )
+    ranges = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
+    ranged = ranges.sortWithinPartitions(*order_by).withColumn("__row", F.monotonically_increasing_id())
     ranged = materialize(ranged, "numbered").withColumn("__part", F.shiftright("__row", _ROW_BITS))
+    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+    if method == "auto":
+        found = counts.collect()  # one row for each range
+        if sum(r["__rows"] for r in found) <= SMALL_ROWS:
+            return ranged.drop("__part", "__row").withColumn(surrogate, base + in_order)
+        counts = df.sparkSession.createDataFrame(found, counts.schema)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("__part")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
-    )
+    offsets = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     local = F.col("__row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     return (
-        # one row per range partition, so the broadcast is bounded by ``width``
+        # one row for each range, so the broadcast is bounded by their number
         ranged.join(F.broadcast(offsets), "__part")
         .withColumn(surrogate, base + F.col("__before") + local)
         .drop("__part", "__row", "__before")

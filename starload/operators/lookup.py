@@ -83,18 +83,21 @@ def flatten_snowflake(
     leaf: DataFrame,
     levels: Sequence[tuple[DataFrame, Mapping[str, str], Sequence[str]]],
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Pull attributes of a hierarchy down to its leaf.
 
     ``levels`` goes outward from the leaf; each is the table, its join pairs
     ``{inner column: column of this level}`` and the attributes to bring down.
     The upper levels are joined to each other first, so the wide leaf is joined,
-    and at scale shuffled, once.
+    and at scale shuffled, once. ``null_safe`` lets a null key find a row with a null key.
     """
     table, on, attributes = levels[0]
     taken = list(attributes)
     if len(levels) > 1:
         above = levels[1:]
-        table = flatten_snowflake(table, above, broadcast_limit)
+        table = flatten_snowflake(table, above, broadcast_limit, null_safe)
+        if not fits_auto_broadcast(table):  # measured before it is joined, so it runs once
+            table = materialize(table, "levels")
         taken += [name for _, _, names in above for name in names]
-    return lookup(leaf, table, on, taken, broadcast_limit=broadcast_limit)
+    return lookup(leaf, table, on, taken, null_safe, broadcast_limit)

@@ -43,10 +43,11 @@ def stage_product(
     categories: DataFrame,
     tolerant: bool = True,
     keep: Sequence[str] = (),
+    null_safe: bool = False,
 ) -> DataFrame:
     """Typed products with the names of their subcategory and category.
 
-    Columns ``keep``, such as the sample date, are kept and have to agree on all levels.
+    With ``null_safe`` a product without a subcategory finds a subcategory without a key. Columns ``keep``, such as the sample date, are kept and have to agree on all levels.
     """
     typed = standardize(
         raw,
@@ -69,6 +70,7 @@ def stage_product(
             (subcategories, {"ProductSubcategoryId": "ProductSubcategoryKey"} | same, ["SubcategoryName"]),
             (categories, {"ProductCategoryKey": "ProductCategoryKey"} | same, ["CategoryName"]),
         ],
+        null_safe=null_safe,
     )
     return _conform(flat, "product", keep)
 

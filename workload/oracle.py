@@ -271,12 +271,14 @@ LATE = f"""
               AS version_no
     FROM cut"""
 
-CORRECTED = f"""
+CORRECTED_PAIRS = f"""
     WITH t AS ({customers(0, 1)}), s AS ({customer_snapshot(2)}),
     pair AS (SELECT t.*, s.CustomerId IS NOT NULL AND {_differs('t', 's')}
                          AND t.valid_to_dttm > {D[1]} AS hit,
                     {', '.join(f's.{c} AS s_{c}' for c in CUSTOMER_ATTRIBUTES)}
-             FROM t LEFT JOIN s USING (CustomerId))
+             FROM t LEFT JOIN s USING (CustomerId))"""
+
+CORRECTED = f"""{CORRECTED_PAIRS}
     SELECT customer_rk, CustomerId,
            {', '.join(f'CASE WHEN hit AND valid_from_dttm = {D[1]} THEN s_{c} ELSE {c} END AS {c}' for c in CUSTOMER_ATTRIBUTES)},
            valid_from_dttm,
@@ -511,6 +513,35 @@ ORACLE: dict[str, str] = {
     "scd2_composite_key": PAIRS,
     "scd2_same_date_rerun": customers(0, REST, version=True),
     "scd2_same_date_correction": CORRECTED,
+    "scd2_corrected": f"""{CORRECTED_PAIRS}
+        SELECT customer_rk, CustomerId, {', '.join(f's_{c} AS {c}' for c in CUSTOMER_ATTRIBUTES)},
+               valid_from_dttm, valid_to_dttm, {STAMPED} AS process_dttm
+        FROM pair WHERE hit AND valid_from_dttm = {D[1]}""",
+    "scd2_safe_fingerprint": f"""
+        WITH c AS (SELECT CAST(1000 + ROW_NUMBER() OVER (ORDER BY c_custkey) AS INTEGER) AS customer_rk,
+                          CAST(c_custkey AS INTEGER) AS CustomerId, c_mktsegment AS tx FROM customer)
+        SELECT customer_rk, CustomerId, tx AS one_tx, CAST(NULL AS VARCHAR) AS two_tx, {D[0]} AS valid_from_dttm,
+               {OPEN} AS valid_to_dttm, {STAMPED} AS process_dttm, false AS safe FROM c
+        UNION ALL SELECT customer_rk, CustomerId, tx, NULL, {D[0]}, {D[1]}, {STAMPED}, true FROM c
+        UNION ALL SELECT customer_rk, CustomerId, NULL, tx, {D[1]}, {OPEN}, {STAMPED}, true FROM c""",
+    "default_stamps": """
+        SELECT 'merge' AS load, COUNT(*) AS n, true AS recent, true AS midnight FROM customer
+        UNION ALL SELECT 'facts', COUNT(*), true, false FROM orders""",
+    "lookup_null_keys": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS custkey,
+               CASE WHEN o_orderstatus <> 'F' THEN c_name END AS plain_nm,
+               CASE WHEN o_orderstatus <> 'F' THEN c_name ELSE 'nobody' END AS safe_nm
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+    "snowflake_null_safe": f"""
+        SELECT * EXCLUDE (unkeyed)
+                 REPLACE (CASE WHEN unkeyed THEN 'Unsorted' ELSE SubcategoryName END AS SubcategoryName,
+                          CASE WHEN unkeyed THEN (SELECT CategoryName FROM ({RAW_CATEGORY}) c WHERE ProductCategoryKey = '1')
+                               ELSE CategoryName END AS CategoryName)
+        FROM (SELECT s.*, starts_with(split_part(p_brand, '#', 2), '1') AS unkeyed
+              FROM ({stage_product()}) s JOIN part ON ProductId = p_partkey) k""",
+    "facts_by_batch": f"""
+        SELECT {_batches('o_orderdate')} AS sample_date, OrderNumber, customer_rk, OrderQuantity
+        FROM ({KEYED_LOAD_BY_LOAD}) k JOIN orders ON OrderNumber = 'SO' || CAST(o_orderkey AS VARCHAR)""",
     "scd2_late_snapshot": LATE,
     "scd2_null_end": f"""
         SELECT * REPLACE (CASE WHEN valid_from_dttm = {D[0]} AND valid_to_dttm = {OPEN}

@@ -16,7 +16,7 @@ from starload.operators.backfill import scd2_backfill
 from starload.operators.facts import with_load_stamp
 from starload.operators.fingerprinted import scd2_merge_fingerprinted, with_fingerprint
 from starload.operators.keys import assign_surrogate_keys, max_key
-from starload.operators.lookup import one_row_per_key
+from starload.operators.lookup import lookup, one_row_per_key
 from starload.operators.scd2 import (
     KeyFilter,
     Scd2Result,
@@ -297,6 +297,29 @@ def fact_key_lookup(t: Tables) -> DataFrame:
     return stage_sales(raw_sales(t), *dims)
 
 
+@query
+def lookup_null_keys(t: Tables) -> DataFrame:
+    """Orders of unknown customers against customers one of which has no key, by both equalities."""
+    key = "CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS custkey"
+    orders = t.orders.selectExpr("o_orderkey", key)
+    none = t.spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS c_custkey", "'nobody' AS c_name")
+    known = t.customer.select("c_custkey", "c_name").unionByName(none)
+    plain = lookup(orders, known, {"custkey": "c_custkey"}, {"c_name": "plain_nm"})
+    return lookup(plain, known, {"custkey": "c_custkey"}, {"c_name": "safe_nm"}, null_safe=True)
+
+
+@query
+def snowflake_null_safe(t: Tables) -> DataFrame:
+    """Products without a subcategory find the subcategory that has no key."""
+    key = F.when(~F.col("ProductSubcategoryKey").startswith("1"), F.col("ProductSubcategoryKey"))
+    first = F.lit("1").alias("ProductCategoryKey")
+    unkeyed = t.spark.range(1).select(
+        F.lit(None).cast("string").alias("ProductSubcategoryKey"), F.lit("Unsorted").alias("SubcategoryName"), first
+    )
+    raw = raw_product(t).withColumn("ProductSubcategoryKey", key)
+    return stage_product(raw, raw_subcategory(t).unionByName(unkeyed), raw_category(t), null_safe=True)
+
+
 # surrogate keys
 
 
@@ -356,6 +379,48 @@ def scd2_close(t: Tables) -> DataFrame:
     return _merge(_snapshot(t, REST), _history(t, (0,)), PLAIN, REST).close
 
 
+@query
+def scd2_corrected(t: Tables) -> DataFrame:
+    return _merge(_snapshot(t, 2), _history(t, (0, 1)), PLAIN, 1).corrected
+
+
+@query
+def scd2_safe_fingerprint(t: Tables) -> DataFrame:
+    """A value that moved to the next column is a change only for the safe fingerprint."""
+    before = t.customer.selectExpr("CAST(c_custkey AS INT) AS CustomerId", "c_mktsegment AS one_tx", "CAST(NULL AS STRING) AS two_tx")
+    after = materialize(before.selectExpr("CustomerId", "two_tx AS one_tx", "one_tx AS two_tx"), "snapshot")
+    schema = columns(f"customer_rk integer, CustomerId integer, one_tx string, two_tx string, {_VALIDITY}")
+    first = scd2_merge(materialize(before, "snapshot"), empty_frame(t.spark, schema), PLAIN, CUTS[0][0], stamp())
+    dim = materialize(first.full, "dim")
+    found = [
+        _merge(after, dim, spec, REST).full.withColumn("safe", F.lit(spec.safe_fingerprint))
+        for spec in (PLAIN, replace(PLAIN, safe_fingerprint=True))
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def default_stamps(t: Tables) -> DataFrame:
+    """Stamps that nobody names: midnight of the run day for a merge, the time of the load for facts."""
+    inserted = scd2_merge(_snapshot(t, ALL), empty_frame(t.spark, _CUSTOMER), PLAIN, CUTS[ALL][0]).insert
+    path = scratch_path(t.spark, "facts")
+    append_table(with_load_stamp(t.orders.select("o_orderkey")), path)
+    now, day = F.localtimestamp(), F.date_trunc("day", F.localtimestamp()).cast("timestamp_ntz")
+    merged = inserted.agg(
+        F.lit("merge").alias("load"),
+        F.count("*").alias("n"),
+        F.bool_and(F.col("process_dttm").between(day - F.expr("INTERVAL 1 DAY"), day)).alias("recent"),
+        F.bool_and(F.col("process_dttm") == F.date_trunc("day", "process_dttm").cast("timestamp_ntz")).alias("midnight"),
+    )
+    facts = read_table(t.spark, path).agg(
+        F.lit("facts").alias("load"),
+        F.count("*").alias("n"),
+        F.bool_and(F.col("processed_dttm").between(now - F.expr("INTERVAL 1 DAY"), now)).alias("recent"),
+        (F.count_distinct("processed_dttm") > 1).alias("midnight"),
+    )
+    return merged.unionByName(facts)
+
+
 @query
 def scd2_first_load(t: Tables) -> DataFrame:
     return _history(t, (ALL,))
@@ -863,6 +928,16 @@ def monthly_load(t: Tables) -> DataFrame:
     return wh.table("dwh", "sales")
 
 
+@query
+def facts_by_batch(t: Tables) -> DataFrame:
+    """Facts with the batch they came by; each batch is read by itself."""
+    wh = _warehouse(t, tuple(FEED_STEMS))
+    for name, _, _ in PERIODS:
+        run_month(wh, name, stamp(), stamp())
+    batches = [wh.facts().where(F.col("sample_date") == name) for name, _, _ in PERIODS]
+    return reduce(DataFrame.unionByName, batches).select("sample_date", "OrderNumber", "customer_rk", "OrderQuantity")
+
+
 # reports
 
 
