@@ -45,7 +45,11 @@ def without_broadcast(spark):
 
 def plan_lines(df):
     """Depth and text of the operators of a plan, as it would run."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxMetadataStringLength"  # else filters are cut short
+    before = conf.get(key)
+    conf.set(key, "5000")
     text = df._jdf.queryExecution().executedPlan().toString()
+    conf.set(key, before)
     found = []
     for line in text.splitlines():
         body = line.lstrip(" :+-*(0123456789)")
