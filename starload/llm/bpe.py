@@ -59,6 +59,8 @@ SMALL_LETTERS = {
     0xA7CB: 0x264,
     0xA7DC: 0x19B,
 }
+#: Below this character every Unicode version has the same classes, so the short pattern will do.
+SETTLED = "\u0370"
 NEWER_CAPITALS = regex.compile("[" + "".join(map(chr, SMALL_LETTERS)) + "]")
 
 ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
@@ -99,6 +101,8 @@ class Vocabulary:
     ranks: dict[int, int]
     special: tuple[tuple[str, int], ...]
     pattern: str
+    #: the pattern with the character classes of the tokenizer's Unicode version written out
+    exact: str
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -121,10 +125,10 @@ def load_vocabulary(path: str) -> Vocabulary:
         if i in parts:
             raise ValueError(f"token {i} has two merges")
         parts[i], ranks[i], keys[i] = (a, b), rank, keys[a] + keys[b]
-    pattern = split["pattern"]["Regex"]
+    exact = pattern = split["pattern"]["Regex"]
     for name, kind, added in (("\\p{L}", "L", LETTERS_16), ("\\p{N}", "N", NUMBERS_16)):
-        pattern = pattern.replace(name, character_class(kind, added))
-    return Vocabulary(tuple(tokens), tuple(keys), parts, ranks, special, pattern)
+        exact = exact.replace(name, character_class(kind, added))
+    return Vocabulary(tuple(tokens), tuple(keys), parts, ranks, special, pattern, exact)
 
 
 class Encoder:
@@ -217,13 +221,14 @@ class Pieces(dict):
         self.older: dict[str, bytes] = {}
         self.encoder = Encoder(vocabulary)
         self.find = regex.compile(vocabulary.pattern).findall
+        self.find_exactly = regex.compile(vocabulary.exact).findall
         self.characters = byte_characters()
 
     def __missing__(self, piece: str) -> bytes:
         found = self.older.get(piece)
         if found is None:
             ids = array("I")
-            for word in self.find(piece):
+            for word in (self.find if max(piece, default="") < SETTLED else self.find_exactly)(piece):
                 symbols = "".join([self.characters[b] for b in word.encode()])
                 ids.extend(self.encoder.encode(symbols[:-1] + chr(ord(symbols[-1]) + END_SHIFT)))
             found = ids.tobytes()
