@@ -193,6 +193,22 @@ def test_page_edge_cases(spark):
     assert main_text.main_texts(table.limit(0)).count() == 0
 
 
+def test_texts_do_not_depend_on_the_size_of_groups(spark):
+    notice = "<div>All rights of this part are held by its authors alone</div>"
+    pages = [f"<div>{' '.join(f'w{i}x{j}' for j in range(9))}</div>" + notice * (i < 3) for i in range(40)]
+    rows = [(i, "http://h/a" if i % 2 or i < 4 else "http://closed/", p) for i, p in enumerate(pages)]
+    rows += [(40 + i, "http://copies/", rows[0][2]) for i in range(5)] + [(50, "http://h/b", f"<article>x</article><nav>{notice}</nav>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    alone = {h: [r for r in rows if r[1].startswith(h)] for h in ("http://h/", "http://closed/", "http://copies/")}
+    wanted = {}
+    for own in alone.values():
+        wanted |= dict(zip([r[0] for r in own], main_text.page_texts([r[2] for r in own], main_text.Pages()), strict=True))
+    assert "All rights" not in wanted[0] and "All rights" in wanted[40]
+    for size in (1, 300, 4 << 20):
+        found = main_text.main_texts(table, main_text.Pages(group_bytes=size))
+        assert {r["page_id"]: r["text"] for r in found.collect()} == wanted
+
+
 # Pipeline
 
 
