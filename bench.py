@@ -113,7 +113,7 @@ def cases(t: Tables) -> dict[str, Callable[[], object]]:
     dates = [r["sample_date"] for r in sample_dates(sales, day, following=True).limit(25).collect()]
     early = materialize(slice_all_months(sales, day).where(F.col("sample_date") <= dates[-1]).drop("sample_date"))
     dims_of = (raw_customer(t), raw_product(t), raw_subcategory(t), raw_category(t), raw_territory(t))
-    export_months(slice_by_month(early, day, *dims_of, store_products=True), f"{root}/slices")
+    export_months(slice_by_month(early, day, *dims_of, store=True), f"{root}/slices")
     long = Warehouse(spark, scratch_path(spark, "long"), f"{root}/slices", layout="slices")
     backfill_months(long, dates[:24], stamp(), stamp())
 
