@@ -186,6 +186,52 @@ def test_chains_passages_and_hot_groups(docs_of, seed):
     check_components(near_copies.near_copies(docs_of(list(texts.items())), join), texts)
 
 
+def test_variants_too_far_apart_meet_few_others(docs_of, monkeypatch):
+    """Many variants of one text, most of them not similar to it or to each other, are not paired with each other."""
+    random.seed(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 121):
+        w = list(base)
+        for k in random.sample(range(150), 1 if i % 4 == 0 else 7):
+            w[k] = f"x{i}y{k}"
+        texts[i] = " ".join(w)
+    met, verified = [], near_copies.verified
+
+    def counted(pairs, *others):
+        met.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    join = near_copies.Join(sample=120, leading=2, rounds=1)
+    check_components(near_copies.near_copies(docs_of(list(texts.items())), join), texts)
+    assert sum(met) <= 5 * len(texts)
+
+
+def test_first_shared_place_bounds_the_sizes():
+    """The first element that a similar pair shares stands early enough in both for their sizes."""
+    rng = np.random.default_rng(1)
+    join, seen = near_copies.Join(), 0
+    for _ in range(2000):
+        both = np.arange(rng.integers(30, 60)) * 2 + 41
+        a, b = (np.unique(np.append(both, rng.choice(60, rng.integers(0, 10)) * 2)) for _ in "ab")
+        shared = np.intersect1d(a, b)
+        if 100 * len(shared) >= 75 * (len(a) + len(b) - len(shared)):
+            for x, y in ((a, b), (b, a)):
+                at = np.searchsorted(x, shared[0])
+                upto = duckdb.sql(f"SELECT {near_copies.farthest(str(at), str(len(x)), join).replace('DIV', '//')}")
+                assert len(y) <= upto.fetchall()[0][0]
+                seen += at > 0
+    assert seen > 100
+
+
+def test_components_are_joined_by_links_between_them(spark):
+    known = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, component long")
+    found = spark.createDataFrame([(2, 6), (3, 7), (7, 9), (1, 2), (20, 21)], "a long, b long")
+    label = {r["node"]: r["component"] for r in near_copies.joined_components(known, found).collect()}
+    assert label == {1: 1, 2: 1, 5: 1, 6: 1, 3: 3, 7: 3, 8: 3, 9: 3, 20: 20, 21: 20}
+
+
 def test_near_copy_edge_cases(docs_of):
     assert near_copies.near_copies(docs_of([])).count() == 0
     docs = docs_of(AWKWARD).withColumn("size", F.lit("x")).withColumn("component", F.lit(1))
