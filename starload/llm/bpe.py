@@ -2,10 +2,16 @@
 
 The vocabulary file is read once on the driver and broadcast (one vocabulary, a few MB,
 whatever the corpus). Inside a task each distinct word is encoded once: an Aho-Corasick
-automaton over all tokens gives the matches that begin at each position, the longest is
-tried first, and a token is accepted only next to one it is compatible with, which is the
-case when merging by rank would leave both as they are. Positions found to lead nowhere
-are marked, so no position is left twice and the work is linear in the word.
+automaton over all tokens gives the longest match that begins at each position, the shorter
+ones are its prefixes. The longest is tried first, and a token is accepted only next to one
+it is compatible with, which is the case when merging by rank would leave both as they are.
+Positions found to lead nowhere are marked, so no position is left twice and the work is
+linear in the word.
+
+A worker process keeps the tables of the vocabulary and a bounded number of pairs. Caches of
+words and stretches of text belong to a task and go with it, since Spark keeps the processes
+of a step for those after it. Ids and decoded text come from one step, so from one process
+for each core.
 
 Nulls and empty texts give no ids and decode to the empty string. Texts of any length are
 taken whole. Repeated rows are encoded alike; extra columns pass through and one called
@@ -32,9 +38,10 @@ WORD_FILE = "word_bpe_49k.json"
 WORD_END = "</w>"
 #: Distance between a character and its form at the end of a word in the automaton's alphabet.
 END_SHIFT = 0x1000
-#: Sizes of the caches of a worker process; of pieces, as many used before are kept besides.
+#: Sizes of the caches; of pieces and words, as many used before are kept besides.
 CACHED_PIECES = 200_000
-KNOWN_PAIRS = 500_000
+CACHED_WORDS = 200_000
+KNOWN_PAIRS = 250_000
 CACHED_LENGTH = 64
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Characters that Python's split() takes for white space and Unicode doesn't.
@@ -63,8 +70,12 @@ SMALL_LETTERS = {
 SETTLED = "\u0370"
 NEWER_CAPITALS = regex.compile("[" + "".join(map(chr, SMALL_LETTERS)) + "]")
 
+#: A pattern with this alternative, and none that takes less of them, has a run of letters as one word.
+LETTERS = "|[\\p{L}]+|"
+
 ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 DECODED = T.StructType([T.StructField("text", T.StringType())])
+BOTH = T.StructType([*ENCODED.fields, *DECODED.fields])
 
 
 def character_class(kind: str, added: str) -> str:
@@ -138,13 +149,22 @@ class Encoder:
         self.v = vocabulary
         self.length = [len(k) for k in vocabulary.keys]
         self.merged = {pair: i for i, pair in vocabulary.parts.items()}
+        self.find = regex.compile(vocabulary.pattern).findall
+        self.find_exactly = regex.compile(vocabulary.exact).findall
         self.compatible: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
-        for i, key in enumerate(vocabulary.keys):
-            # A token whose own halves don't stay together is never the outcome of merging.
-            if key and (i not in vocabulary.parts or self._reachable(i)):
-                self.automaton.add_word(key, i)
+        # A token whose own halves don't stay together is never the outcome of merging.
+        self.whole = {
+            key: i for i, key in enumerate(vocabulary.keys) if key and (i not in vocabulary.parts or self._reachable(i))
+        }
+        for key, i in self.whole.items():
+            self.automaton.add_word(key, (i, len(key) - 1))
         self.automaton.make_automaton()
+        #: the longest other token that each begins with; -1 if there is none
+        self.shorter = [-1] * len(vocabulary.keys)
+        for key, i in self.whole.items():
+            heads = (self.whole.get(key[:k], -1) for k in range(len(key) - 1, 0, -1))
+            self.shorter[i] = next((h for h in heads if h >= 0), -1)
 
     def _reachable(self, token: int) -> bool:
         """Whether the last merge of ``token`` is the one its parts would take."""
@@ -182,69 +202,94 @@ class Encoder:
 
     def encode(self, word: str) -> list[int]:
         """Ids of ``word``, which is in the automaton's alphabet."""
-        size, length, known = len(word), self.length, self.compatible
-        starts: list[list[int]] = [[] for _ in range(size + 1)]
-        for end, token in self.automaton.iter(word):
-            starts[end + 1 - length[token]].append(token)
+        token = self.whole.get(word)
+        if token is not None:
+            return [token]
+        size, length, known, shorter = len(word), self.length, self.compatible, self.shorter
+        longest = [-1] * (size + 1)
+        for end, (token, back) in self.automaton.iter(word):
+            longest[end - back] = token  # of those that begin here the longest ends last
         alive = bytearray(b"\1") * (size + 1)
         out: list[int] = []
-        tried: list[int] = []
-        at, k = 0, len(starts[0]) - 1
+        at, token = 0, longest[0]
         while at < size:
-            here = starts[at]
-            while k >= 0:
-                token = here[k]
+            while token >= 0:
                 if alive[at + length[token]]:
                     if not out:
                         break
                     fits = known.get(out[-1] << 20 | token)
                     if fits or fits is None and self._fits(out[-1], token):
                         break
-                k -= 1
-            if k >= 0:
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                tried.append(k)
                 at += length[token]
-                k = len(starts[at]) - 1
+                token = longest[at]
             else:
                 alive[at] = 0
-                at -= length[out.pop()]
-                k = tried.pop() - 1
+                token = out.pop()
+                at -= length[token]
+                token = shorter[token]
         return out
 
 
-class Pieces(dict):
-    """Ids, as bytes, of white-space-free stretches of normalised text."""
+class Cache(dict):
+    """What ``make`` gives for strings; when ``size`` are held it starts afresh, with those before besides."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, size: int):
         super().__init__()
+        self.size = size
         self.older: dict[str, bytes] = {}
-        self.encoder = Encoder(vocabulary)
-        self.find = regex.compile(vocabulary.pattern).findall
-        self.find_exactly = regex.compile(vocabulary.exact).findall
-        self.characters = byte_characters()
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
         if found is None:
-            ids = array("I")
-            for word in (self.find if max(piece, default="") < SETTLED else self.find_exactly)(piece):
-                symbols = "".join([self.characters[b] for b in word.encode()])
-                ids.extend(self.encoder.encode(symbols[:-1] + chr(ord(symbols[-1]) + END_SHIFT)))
-            found = ids.tobytes()
-        if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
+            found = self.make(key)
+        if len(key) <= CACHED_LENGTH:
+            if len(self) >= self.size:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = found
+            self[key] = found
         return found
 
+    def make(self, key: str) -> bytes:
+        raise NotImplementedError
+
+
+class Words(Cache):
+    """Ids, as bytes, of words."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__(CACHED_WORDS)
+        self.encoder, self.characters = encoder, byte_characters()
+
+    def make(self, key: str) -> bytes:
+        if not (key.isascii() and key.isprintable()):  # others stand for themselves
+            key = "".join([self.characters[b] for b in key.encode()])
+        return array("I", self.encoder.encode(key[:-1] + chr(ord(key[-1]) + END_SHIFT))).tobytes()
+
+
+class Pieces(Cache):
+    """Ids, as bytes, of white-space-free stretches of normalised text."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__(CACHED_PIECES)
+        self.words = Words(encoder)
+        self.find, self.find_exactly = encoder.find, encoder.find_exactly
+        self.letters = LETTERS in encoder.v.pattern
+
+    def make(self, key: str) -> bytes:
+        if self.letters and key.isascii() and key.isalpha():
+            return self.words[key]
+        found = (self.find if max(key, default="") < SETTLED else self.find_exactly)(key)
+        return b"".join([self.words[word] for word in found])
+
 
 class Tokenizer:
-    """Encode and decode whole texts."""
+    """Encode and decode whole texts; ``encoder`` is one of the same vocabulary."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.pieces = Pieces(vocabulary)
+    def __init__(self, vocabulary: Vocabulary, encoder: Encoder | None = None):
+        self.pieces = Pieces(encoder or Encoder(vocabulary))
         self.special = {text: array("I", [i]).tobytes() for text, i in vocabulary.special}
         strings = [t.encode() for t in vocabulary.tokens]
         self.offsets = [0]
@@ -285,58 +330,77 @@ class Tokenizer:
             return b" ".join(map(self.found.__getitem__, numbers)).decode()
 
 
-_TOKENIZERS: dict[str, Tokenizer] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def _tokenizer(key: str, vocabulary) -> Tokenizer:
-    """One tokenizer for each worker process and vocabulary."""
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = Tokenizer(vocabulary.value)
-    return _TOKENIZERS[key]
+    """A tokenizer with caches of its own; its tables are made once for each worker process and vocabulary."""
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(vocabulary.value)
+    return Tokenizer(_ENCODERS[key].v, _ENCODERS[key])
+
+
+def _encoded(t: Tokenizer, texts: pa.Array) -> list[pa.Array]:
+    ids = [t.encode(x) for x in texts.to_pylist()]
+    return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
 
 
-def encoder_for(spark: SparkSession, path: str):
-    """Functions that make the encode and decode steps of a task."""
+def _decoded(t: Tokenizer, ids: pa.Array) -> list[pa.Array]:
+    return [pa.array([t.decode(x) for x in ids.to_pylist()], pa.string())]
+
+
+def steps_for(spark: SparkSession, path: str):
+    """Functions that make the steps of a task: encode, decode, and both one after the other."""
     shared = spark.sparkContext.broadcast(load_vocabulary(path))
 
     def encoding():
         t = _tokenizer(path, shared)
+        return lambda texts: _encoded(t, texts)
+
+    def decoding():
+        t = _tokenizer(path, shared)
+        return lambda ids: _decoded(t, ids)
+
+    def both():
+        t = _tokenizer(path, shared)
 
         def step(texts: pa.Array) -> list[pa.Array]:
-            ids = [t.encode(x) for x in texts.to_pylist()]
-            return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            encoded = _encoded(t, texts)
+            return [*encoded, *_decoded(t, encoded[1])]
 
         return step
 
-    def decoding():
-        t = _tokenizer(path, shared)
-        return lambda ids: [pa.array([t.decode(x) for x in ids.to_pylist()], pa.string())]
-
-    return encoding, decoding
+    return encoding, decoding, both
 
 
 def encode_texts(docs: DataFrame, path: str, text: str = "text", name: str = "encoded", drop_text: bool = False) -> DataFrame:
     """``docs`` with the struct ``name``: n_tokens, and ids as packed 32-bit integers."""
-    encoding, _ = encoder_for(docs.sparkSession, path)
+    encoding, _, _ = steps_for(docs.sparkSession, path)
     return with_text_columns(docs, text, name, ENCODED, encoding, drop_text)
 
 
 def decode_ids(df: DataFrame, path: str, ids: str, name: str = "decoded") -> DataFrame:
     """``df`` with the struct ``name`` that holds the text of the packed ids in column ``ids``."""
-    _, decoding = encoder_for(df.sparkSession, path)
+    _, decoding, _ = steps_for(df.sparkSession, path)
     return with_text_columns(df, ids, name, DECODED, decoding)
 
 
+def encode_and_decode(
+    docs: DataFrame, path: str, text: str = "text", name: str = "encoded", drop_text: bool = False
+) -> DataFrame:
+    """``docs`` with the struct ``name``: n_tokens, packed ids, and the text that these decode to."""
+    _, _, both = steps_for(docs.sparkSession, path)
+    return with_text_columns(docs, text, name, BOTH, both, drop_text)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text of each document."""
-    encoded = encode_texts(docs.select("doc_id", "text"), path, drop_text=True)
-    flat = encoded.select("doc_id", "encoded.n_tokens", "encoded.ids")
-    decoded = decode_ids(flat, path, "ids")
-    return decoded.select(
+    encoded = encode_and_decode(docs.select("doc_id", "text"), path, drop_text=True)
+    return encoded.select(
         "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded.text").cast("binary"), 256).alias("decoded_sha256"),
+        "encoded.n_tokens",
+        F.sha2("encoded.ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("encoded.text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -63,6 +63,26 @@ def test_query_equals_library_on_all_documents(spark, reference):
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_words_are_encoded_once(own, reference):
+    """A word among others is not encoded again for each stretch of text that holds it."""
+    t, met = bpe.Tokenizer(own.pieces.words.encoder.v, own.pieces.words.encoder), []
+    make = t.pieces.words.make
+    t.pieces.words.make = lambda word: met.append(word) or make(word)
+    text = "fooblarg fooblarg, (fooblarg) fooblarg. fooblarg's \"fooblarg\" 7fooblarg7"
+    ids = reference.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(t.encode(text), "<u4").tolist() == ids and met.count("fooblarg") == 1
+
+
+def test_one_python_step_and_caches_of_a_task(spark, docs_of):
+    """Ids and decoded text come from one process; tokenizers of one worker share tables, not caches."""
+    plan = bpe.digests(docs_of(AWKWARD), bpe.word_file())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    shared = type("Shared", (), {"value": bpe.load_vocabulary(bpe.word_file())})
+    first, second = (bpe._tokenizer("test", shared) for _ in range(2))
+    first.encode("some text")
+    assert first.pieces.words.encoder is second.pieces.words.encoder and first.pieces and not second.pieces
+
+
 def test_awkward_rows_and_clashing_columns(spark, docs_of, reference):
     docs = docs_of(AWKWARD).withColumn("encoded", F.lit(1)).withColumn("ids", F.lit("x"))
     found = bpe.encode_texts(docs, bpe.word_file())
