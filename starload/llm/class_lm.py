@@ -24,11 +24,13 @@ Only id and text are read, whatever other columns are called.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ class Brown:
     classes: int = 32
     leading: int = 16_384
     rounds: int = 12
-    block: int = 4 << 20
+    block: int = 8 << 20
     backoff: float = 5.0
     discount: float = 0.5
 
@@ -73,17 +75,17 @@ def encode_blocks(docs: DataFrame, model: Brown) -> DataFrame:
         task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in byte_slices(batch, "text", limit):
-                places: dict[bytes, int] = {END: 0}
+                places: defaultdict[bytes, int] = defaultdict()
+                places.default_factory = places.__len__  # a word met first takes the next place
+                places[END]
                 lengths, pieces = [], []
                 held = part.column(2).to_pylist()
                 for text in text_bytes(part.column(1)):
                     words = (text or b"").lower().split()
-                    for w in words:
-                        if w not in places:
-                            places[w] = len(places)
                     pieces.append(np.fromiter(map(places.__getitem__, words), np.uint32, len(words)))
                     pieces.append(np.zeros(1, np.uint32))
                     lengths.append(len(words) + 1)
+                places.default_factory = None
                 tokens = np.concatenate(pieces)
                 training = np.repeat(~np.array(held, bool), lengths)
                 counts = np.bincount(tokens[training], minlength=len(places)).astype(np.uint32)
@@ -109,9 +111,11 @@ def _words(data: bytes) -> list[bytes]:
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """One block at a time, so that no second copy of a whole batch is made."""
+    """One block at a time, so that no second copy of a whole batch is made; lists as arrays of Arrow."""
     for i in range(batch.num_rows):
-        yield tuple(column[i].as_py() for column in batch.columns)
+        yield tuple(
+            column[i].values if pa.types.is_list(column.type) else column[i].as_py() for column in batch.columns
+        )
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -134,12 +138,12 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return map_batches(blocks.select("block", "words", "train"), run, "block long, place int, word binary, n long")
 
 
-def _training_pairs(lengths: list[int], held: list[bool], tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _training_pairs(lengths: pa.Array, held: pa.Array, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token and the token before it, in training texts; before the first stands the end token."""
     before = np.empty_like(tokens)
     before[0] = 0
     before[1:] = tokens[:-1]  # each text ends with the end token
-    training = np.repeat(~np.array(held, bool), lengths)
+    training = np.repeat(~np.asarray(held), np.asarray(lengths))
     return before[training], tokens[training]
 
 
@@ -203,6 +207,38 @@ def best_class(
     return stay if stay >= 0 and gain[best] <= gain[stay] + 1e-9 else best
 
 
+def best_classes(
+    pairs: np.ndarray, rows: np.ndarray, columns: np.ndarray, word: np.ndarray, side: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """What ``best_class`` gives for words that are not in ``pairs``, for many words at once.
+
+    ``word`` numbers the words from 0, ascending, each with an entry; ``side`` is the class after
+    the word, or that before it plus the number of classes, and ``n`` how often. Where rounding
+    could decide between classes the word goes through ``best_class``.
+    """
+    number = len(pairs)
+    words = int(word[-1]) + 1
+    both = np.bincount(word * 2 * number + side, n, words * 2 * number).reshape(words, 2 * number)
+    right, left = both[:, :number], both[:, number:]
+    beside = np.hstack([pairs, pairs.T]).T  # of each side the counts with every class
+    cells, which = np.unique(n * 2 * number + side, return_inverse=True)
+    known = beside[cells % (2 * number)]
+    table = _gain(known + (cells // (2 * number))[:, None]) - _gain(known)
+    starts = np.searchsorted(word, np.arange(words))
+    gain = np.add.reduceat(table[which], starts)
+    w, c = np.nonzero((right > 0) & (left > 0))
+    own, after, before = np.diagonal(pairs)[c], right[w, c], left[w, c]
+    gain[w, c] += _gain(own + after + before) - _gain(own + after) - _gain(own + before) + _gain(own)
+    for sums, total in ((rows, right.sum(1)), (columns, left.sum(1))):
+        size, which = np.unique(total, return_inverse=True)
+        gain -= (_gain(sums + size[:, None]) - _gain(sums))[which]
+    best = gain.argmax(1)
+    close = 1e-12 * max(1.0, _gain(columns).max(), _gain(rows).max())
+    for k in np.flatnonzero((gain >= gain.max(1, keepdims=True) - close).sum(1) > 1):
+        best[k] = best_class(pairs, rows, columns, right[k], left[k], 0, -1)
+    return best
+
+
 def class_bigrams(pairs: DataFrame, classes: list[int], number: int) -> np.ndarray:
     """Matrix of class bigrams of the leading pairs."""
     shared = pairs.sparkSession.sparkContext.broadcast(np.array(classes, np.int64))
@@ -314,18 +350,17 @@ def context_classes(blocks: DataFrame, leading: list[bytes], classes: list[int],
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, matrix = shared.value
         rows, columns = matrix.sum(1), matrix.sum(0)
-        known: dict[bytes, int] = {}
         for batch in batches:
             found = []
-            for side, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                both = np.bincount(side, n, 2 * number)
-                key = both.tobytes()
-                if key not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    known[key] = best_class(matrix, rows, columns, both[:number], both[number:], 0, -1)
-                found.append(known[key])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["word", "class"])
+            for start in range(0, batch.num_rows, 1_000):
+                part = batch.slice(start, 1_000)
+                side, n = (part.column(i).flatten().to_numpy().astype(np.int64) for i in (1, 2))
+                word = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(1)).to_numpy())
+                found.append(best_classes(matrix, rows, columns, word, side, n))
+            classes = np.concatenate(found) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(classes.astype(np.int32))], names=["word", "class"]
+            )
 
     sides = map_batches(blocks.select("lengths", "held", "words", "tokens"), count, "word binary, side short, n int")
     # blocks have added up their own counts; dealt by word, both sums need no further shuffle
@@ -376,7 +411,7 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
     looked_up = (
         word_counts(blocks)
         .drop("n")
-        .join(known, "word")
+        .join(known.hint("shuffle_hash"), "word")  # a row for each word: its hash table is small, the blocks need no sort
         .groupBy("block")
         .agg(F.collect_list(F.struct("place", "n", "class")).alias("k"))
         .select("block", F.col("k.place").alias("place"), F.col("k.n").alias("n"), F.col("k.class").alias("class"))
@@ -396,9 +431,9 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
                 seen = np.frombuffer(data, np.uint32).astype(np.int64)
                 width = int(seen.max()) + 1
                 count, own = np.zeros(width, np.int64), np.full(width, number, np.int64)
-                if place:
-                    at, inside = np.array(place), np.array(place) < width
-                    count[at[inside]], own[at[inside]] = np.array(n)[inside], np.array(klass)[inside]
+                if place is not None:
+                    at, inside = np.asarray(place), np.asarray(place) < width
+                    count[at[inside]], own[at[inside]] = np.asarray(n)[inside], np.asarray(klass)[inside]
                 c = count[seen]
                 base = np.log10((count + 0.5) / (total + 0.5 * (kinds + 1)))[seen]
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -408,7 +443,7 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
                 before = np.empty_like(after)
                 before[0], before[1:] = own[0], after[:-1]
                 ends = np.cumsum(lengths)
-                starts = ends - np.array(lengths)
+                starts = ends - np.asarray(lengths)
                 cells = before * side + after
                 found_cells, found_counts = [], []
                 for a, b in zip(starts, ends, strict=True):
@@ -417,9 +452,9 @@ def scores(docs: DataFrame, held_out: Column, model: Brown = Brown(), identity:
                     found_counts.append(m.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids, pa.int64()),
-                        pa.array(held, pa.bool_()),
-                        pa.array(lengths, pa.int64()),
+                        ids,
+                        held,
+                        lengths.cast(pa.int64()),
                         pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base, starts)),
                         pa.array(np.add.reduceat(emission, starts)),

@@ -342,6 +342,29 @@ def test_exchange_finds_the_best_single_move():
         assert math.isclose(best[got], max(best), rel_tol=1e-9)
 
 
+def test_words_are_placed_many_at_once():
+    """As one by one, ties between empty or equal classes included, without a call for each word."""
+    rng = np.random.default_rng(5)
+    for number, most in ((4, 3), (32, 50), (32, 100_000)):
+        pairs = rng.integers(0, most, (number, number)).astype(float)
+        pairs[:, 3] = pairs[3] = 0
+        pairs[1], pairs[:, 1] = pairs[0], pairs[:, 0]
+        sums = pairs, pairs.sum(1), pairs.sum(0)
+        words = [np.sort(rng.choice(2 * number, rng.integers(1, 2 * number), replace=False)) for _ in range(500)]
+        counts = [rng.integers(1, 40, len(w)) for w in words]
+        word = np.repeat(np.arange(500), list(map(len, words)))
+        got = class_lm.best_classes(*sums, word, np.concatenate(words), np.concatenate(counts))
+        both = [np.bincount(w, n, 2 * number) for w, n in zip(words, counts, strict=True)]
+        assert got.tolist() == [class_lm.best_class(*sums, b[:number], b[number:], 0, -1) for b in both]
+
+
+def test_words_are_not_placed_one_by_one(docs_of, monkeypatch):
+    pairs = np.random.default_rng(6).integers(1, 1000, (8, 8)).astype(float)
+    monkeypatch.setattr(class_lm, "best_class", None)
+    word, side = np.arange(3000) // 3, np.tile([0, 5, 11], 1000)
+    assert len(class_lm.best_classes(pairs, pairs.sum(1), pairs.sum(0), word, side, 1 + word % 7)) == 1000
+
+
 def test_model_edge_cases(docs_of):
     assert class_lm.scores(docs_of([]), F.lit(False)).count() == 0
     rows = class_lm.scores(docs_of(AWKWARD).withColumn("held", F.lit(1)), F.lit(False)).collect()
