@@ -8,10 +8,9 @@ it is compatible with, which is the case when merging by rank would leave both a
 Positions found to lead nowhere are marked, so no position is left twice and the work is
 linear in the word.
 
-A worker process keeps the tables of the vocabulary and a bounded number of pairs. Caches of
-words and stretches of text belong to a task and go with it, since Spark keeps the processes
-of a step for those after it. Ids and decoded text come from one step, so from one process
-for each core.
+Tables and caches belong to a task and go with it, since Spark keeps the processes of a step
+for those after it, which need the memory. Ids and decoded text come from one step, so from
+one process for each core.
 
 Nulls and empty texts give no ids and decode to the empty string. Texts of any length are
 taken whole. Repeated rows are encoded alike; extra columns pass through and one called
@@ -286,10 +285,10 @@ class Pieces(Cache):
 
 
 class Tokenizer:
-    """Encode and decode whole texts; ``encoder`` is one of the same vocabulary."""
+    """Encode and decode whole texts."""
 
-    def __init__(self, vocabulary: Vocabulary, encoder: Encoder | None = None):
-        self.pieces = Pieces(encoder or Encoder(vocabulary))
+    def __init__(self, vocabulary: Vocabulary):
+        self.pieces = Pieces(Encoder(vocabulary))
         self.special = {text: array("I", [i]).tobytes() for text, i in vocabulary.special}
         strings = [t.encode() for t in vocabulary.tokens]
         self.offsets = [0]
@@ -330,16 +329,6 @@ class Tokenizer:
             return b" ".join(map(self.found.__getitem__, numbers)).decode()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _tokenizer(key: str, vocabulary) -> Tokenizer:
-    """A tokenizer with caches of its own; its tables are made once for each worker process and vocabulary."""
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(vocabulary.value)
-    return Tokenizer(_ENCODERS[key].v, _ENCODERS[key])
-
-
 def _encoded(t: Tokenizer, texts: pa.Array) -> list[pa.Array]:
     ids = [t.encode(x) for x in texts.to_pylist()]
     return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
@@ -354,15 +343,15 @@ def steps_for(spark: SparkSession, path: str):
     shared = spark.sparkContext.broadcast(load_vocabulary(path))
 
     def encoding():
-        t = _tokenizer(path, shared)
+        t = Tokenizer(shared.value)
         return lambda texts: _encoded(t, texts)
 
     def decoding():
-        t = _tokenizer(path, shared)
+        t = Tokenizer(shared.value)
         return lambda ids: _decoded(t, ids)
 
     def both():
-        t = _tokenizer(path, shared)
+        t = Tokenizer(shared.value)
 
         def step(texts: pa.Array) -> list[pa.Array]:
             encoded = _encoded(t, texts)

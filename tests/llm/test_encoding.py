@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starload.llm import bpe, langid
-from starload.llm.common import read_table
+from starload.llm.common import map_batches, read_table
 
 from .conftest import AWKWARD, SF
 
@@ -65,7 +66,7 @@ def test_query_equals_library_on_all_documents(spark, reference):
 
 def test_words_are_encoded_once(own, reference):
     """A word among others is not encoded again for each stretch of text that holds it."""
-    t, met = bpe.Tokenizer(own.pieces.words.encoder.v, own.pieces.words.encoder), []
+    t, met = bpe.Tokenizer(own.pieces.words.encoder.v), []
     make = t.pieces.words.make
     t.pieces.words.make = lambda word: met.append(word) or make(word)
     text = "fooblarg fooblarg, (fooblarg) fooblarg. fooblarg's \"fooblarg\" 7fooblarg7"
@@ -73,14 +74,22 @@ def test_words_are_encoded_once(own, reference):
     assert np.frombuffer(t.encode(text), "<u4").tolist() == ids and met.count("fooblarg") == 1
 
 
-def test_one_python_step_and_caches_of_a_task(spark, docs_of):
-    """Ids and decoded text come from one process; tokenizers of one worker share tables, not caches."""
-    plan = bpe.digests(docs_of(AWKWARD), bpe.word_file())._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") == 1
-    shared = type("Shared", (), {"value": bpe.load_vocabulary(bpe.word_file())})
-    first, second = (bpe._tokenizer("test", shared) for _ in range(2))
-    first.encode("some text")
-    assert first.pieces.words.encoder is second.pieces.words.encoder and first.pieces and not second.pieces
+def test_one_python_step_whose_tables_go_with_its_task(spark, docs_of):
+    """Ids and decoded text come from one process, which keeps no tokenizer for the steps after it."""
+    found = bpe.digests(docs_of(AWKWARD), bpe.word_file())
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found.count() == len(AWKWARD)
+    found.collect()
+
+    def held(batches):
+        import gc
+
+        list(batches)
+        kinds = ("Tokenizer", "Encoder", "Pieces")
+        n = sum(type(o).__name__ in kinds and type(o).__module__ == bpe.__name__ for o in gc.get_objects())
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    assert {r["n"] for r in map_batches(spark.range(8).repartition(8), held, "n long").collect()} == {0}
 
 
 def test_awkward_rows_and_clashing_columns(spark, docs_of, reference):
