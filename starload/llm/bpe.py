@@ -342,16 +342,20 @@ def steps_for(spark: SparkSession, path: str):
     """Functions that make the steps of a task: encode, decode, and both one after the other."""
     shared = spark.sparkContext.broadcast(load_vocabulary(path))
 
+    def tokenizer() -> Tokenizer:
+        pa.default_memory_pool().release_unused()  # what earlier steps of the process have freed
+        return Tokenizer(shared.value)
+
     def encoding():
-        t = Tokenizer(shared.value)
+        t = tokenizer()
         return lambda texts: _encoded(t, texts)
 
     def decoding():
-        t = Tokenizer(shared.value)
+        t = tokenizer()
         return lambda ids: _decoded(t, ids)
 
     def both():
-        t = Tokenizer(shared.value)
+        t = tokenizer()
 
         def step(texts: pa.Array) -> list[pa.Array]:
             encoded = _encoded(t, texts)
