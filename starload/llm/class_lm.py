@@ -233,9 +233,13 @@ def best_classes(
         size, which = np.unique(total, return_inverse=True)
         gain -= (_gain(sums + size[:, None]) - _gain(sums))[which]
     best = gain.argmax(1)
-    close = 1e-12 * max(1.0, _gain(columns).max(), _gain(rows).max())
+    close = 1e-14 * max(1.0, _gain(columns).max(), _gain(rows).max())
+    met: dict[bytes, int] = {}
     for k in np.flatnonzero((gain >= gain.max(1, keepdims=True) - close).sum(1) > 1):
-        best[k] = best_class(pairs, rows, columns, right[k], left[k], 0, -1)
+        key = both[k].tobytes()
+        if key not in met:
+            met[key] = best_class(pairs, rows, columns, right[k], left[k], 0, -1)
+        best[k] = met[key]
     return best
 
 
@@ -352,8 +356,8 @@ def context_classes(blocks: DataFrame, leading: list[bytes], classes: list[int],
         rows, columns = matrix.sum(1), matrix.sum(0)
         for batch in batches:
             found = []
-            for start in range(0, batch.num_rows, 1_000):
-                part = batch.slice(start, 1_000)
+            for start in range(0, batch.num_rows, 5_000):
+                part = batch.slice(start, 5_000)
                 side, n = (part.column(i).flatten().to_numpy().astype(np.int64) for i in (1, 2))
                 word = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(1)).to_numpy())
                 found.append(best_classes(matrix, rows, columns, word, side, n))
