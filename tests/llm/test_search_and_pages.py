@@ -209,6 +209,25 @@ def test_texts_do_not_depend_on_the_size_of_groups(spark):
         assert {r["page_id"]: r["text"] for r in found.collect()} == wanted
 
 
+def test_pages_without_open_blocks_go_through_the_suffix_array_too(spark):
+    menu = "<nav>Home and news and sport and all the rest of the paper</nav>"
+    rows = [(i, f"http://closed{i % 2}/{i}", f"{menu}<aside>w{i}</aside><article>text {i}</article>") for i in range(12)]
+    rows += [(20 + i, "http://closed0/", f"<article>other {i}</article>{menu}<aside>w0</aside>") for i in range(50)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    streams = table.selectExpr("page_id", "url", "split_part(url, '/', 3) AS host", "html")
+    for size in (40, 4 << 20):
+        pages = main_text.Pages(group_bytes=size)
+        dealt = main_text.dealt_streams(streams, pages)
+        assert dealt.count() == 12  # pages that differ in their articles alone have one stream
+        runs = main_text.counted_runs(dealt, pages).groupBy("host", "run").agg(F.sum("pages").alias("n")).where("n >= 3")
+        assert Counter(r["host"] for r in runs.collect()) == {"closed0": 7, "closed1": 7}
+        found = main_text.main_texts(table, pages)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" not in plan and "FlatMapCoGroupsInArrow" in plan
+        wanted = {r[0]: r[2].split("<article>")[1].split("</article>")[0] for r in rows}
+        assert {r["page_id"]: r["text"] for r in found.collect()} == wanted and found.count() == len(rows)
+
+
 # Pipeline
 
 
