@@ -7,10 +7,12 @@ entity that a later snapshot leaves out stays open, so only presences matter. Ne
 are numbered by the date of their first presence and by business key, which is the order in
 which single loads would meet them.
 
-The snapshots are read twice: their keys and dates alone for the numbers, then whole rows
-once through one shuffle by business key, which serves the numbers' join and all windows. An
-entity has at most one row for each date there, so no key is large. The number of jobs and
-shuffles does not depend on the number of dates.
+Runs are decided by key, date and fingerprint alone, in one shuffle by business key, which serves the
+numbers' join and all windows. An entity has at most one row for each date there, so no key is
+large. Only the snapshot rows that begin a run are fetched with all their columns: a filter of their
+keys and dates leaves out most others before rows are shuffled, and a join decides. The
+snapshots are read once more for that, and the number of jobs and shuffles does not depend on
+the number of dates.
 """
 
 from __future__ import annotations
@@ -23,11 +25,16 @@ from pyspark.sql import types as T
 
 from starload.functions.dates import SAMPLE_DATE_FORMAT, instant_sql, run_day_midnight
 from starload.functions.fingerprint import row_hash
+from starload.functions.keyfilter import FilterShape, build_filter, maybe_in
 from starload.functions.names import quoted
+from starload.functions.sizing import fits_auto_broadcast
 from starload.operators.keys import assign_surrogate_keys, max_key
 from starload.operators.scd2 import Scd2Spec, check_columns, check_keys, drop_duplicate_keys
+from starload.sources.scratch import materialize
 
-_AT, _HASH, _STORED, _NUMBER = "__at", "__hash", "__stored", "__number"
+_AT, _HASH, _STORED, _NUMBER, _OWN = "__at", "__hash", "__stored", "__number", "__own"
+# Bits for each run in the filter of their beginnings, and how many each sets.
+_FILTER_BITS, _FILTER_HASHES = 8, 3
 
 
 def snapshot_instant(df: DataFrame, at: str) -> Column:
@@ -69,6 +76,16 @@ def new_entities(snapshots: DataFrame, known: DataFrame, spec: Scd2Spec, key_met
     return assign_surrogate_keys(unseen, [_AT, *key], _NUMBER, seed, key_method).select(*key, _NUMBER)
 
 
+def _fetched(rows: DataFrame, begun: DataFrame, key: list[str]) -> DataFrame:
+    """Runs ``begun`` by a snapshot row with all columns of that row, of which ``rows`` has one a key and date."""
+    on = [*key, _AT]
+    if not fits_auto_broadcast(begun):
+        shape = FilterShape.for_keys(begun.count(), _FILTER_BITS, _FILTER_HASHES)
+        blocks = materialize(build_filter(begun, on, shape), "begun")
+        rows = maybe_in(rows, on, blocks, shape, "__maybe").where("__maybe").drop("__maybe")
+    return begun.join(rows, on)
+
+
 class BackfillResult:
     """``full`` is the new content of the dimension, ``rejected`` the rows without a complete key."""
 
@@ -116,7 +133,7 @@ def scd2_backfill(
     if found.duplicate_keys and duplicates == "error":
         raise ValueError(f"{found.duplicate_keys} keys occur more than once on a date")
     if found.duplicate_keys:
-        rows = drop_duplicate_keys(rows, [*key, _AT])
+        rows = materialize(drop_duplicate_keys(rows, [*key, _AT]), "reduced")
     first = rows.agg(F.min(_AT)).first()[0]
     if first is None:
         return BackfillResult(target, rejected)
@@ -128,20 +145,27 @@ def scd2_backfill(
         "__end": spec.end,
         "__processed": spec.processed,
     } | ({"__version": spec.version} if spec.version else {})
-    presences = stored.select(
+    # a stored row takes its columns along; of snapshot rows keys, dates and fingerprints suffice
+    own = F.struct(*[F.col(quoted(c)) for c in attributes])
+    digest = F.unhex(row_hash(attributes, spec.safe_fingerprint)).alias(_HASH)
+    narrow = stored.select(
         F.col(spec.start).cast("timestamp_ntz").alias(_AT),
-        *attributes,
+        *key,
+        digest,
         F.lit(True).alias(_STORED),
+        own.alias(_OWN),
         *[F.col(quoted(c)).alias(n) for n, c in kept.items()],
     ).unionByName(
         rows.select(
-            "*",
+            _AT,
+            *key,
+            digest,
             F.lit(False).alias(_STORED),
+            F.lit(None).cast(rows.select(own.alias(_OWN)).schema[_OWN].dataType).alias(_OWN),
             *[F.lit(None).cast(schema[c].dataType).alias(n) for n, c in kept.items()],
         )
     )
-    hashed = presences.withColumn(_HASH, row_hash(attributes, spec.safe_fingerprint))
-    numbered = hashed.join(new_entities(rows, known, spec, key_method), list(key), "left")
+    numbered = narrow.join(new_entities(rows, known, spec, key_method), list(key), "left")
 
     # a stored row without a start comes first, as nulls do
     by_date = Window.partitionBy(*key).orderBy(_AT)
@@ -167,9 +191,16 @@ def scd2_backfill(
         runs = runs.withColumn("__base", F.coalesce(F.max("__version").over(whole), F.lit(0)))
         runs = runs.withColumn("__held", F.max(F.col(_STORED).cast("int")).over(whole))
         values[spec.version] = f"IF({_STORED}, __version, __base + __place - __held)"
-    full = runs.selectExpr(
+    made = [f"{value} AS {quoted('__new_' + c)}" for c, value in values.items()]
+    runs = materialize(runs.selectExpr(_AT, *map(quoted, key), _STORED, _OWN, *made), "runs")
+    inner = [f"{_OWN}.{quoted(c)} AS {quoted(c)}" for c in attributes]
+    new = [quoted(f"__new_{c}") for c in values]
+    held = runs.where(_STORED).selectExpr(*inner, *new)
+    begun = runs.where(f"NOT {_STORED}").selectExpr(_AT, *map(quoted, key), *new)
+    whole_rows = held.unionByName(_fetched(rows, begun, list(key)).drop(_AT))
+    full = whole_rows.selectExpr(
         *[
-            f"CAST({values.get(c, quoted(c))} AS {schema[c].dataType.simpleString()}) AS {quoted(c)}"
+            f"CAST({quoted('__new_' + c) if c in values else quoted(c)} AS {schema[c].dataType.simpleString()}) AS {quoted(c)}"
             for c in target.columns
         ]
     )

@@ -152,6 +152,23 @@ def _content(wh):
     return found
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_only_rows_that_begin_a_run_are_fetched_whole(spark, seed):
+    found = presences(seed)
+    first = one_by_one(spark, found, SPEC, dates=DATES[:2])
+    snapshots = materialize(spark.createDataFrame([r for r in found if r[-1] in DATES[2:]], SNAPSHOT), "snapshots")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full = scd2_backfill(snapshots, first, SPEC, processed=stamp()).full
+        plan = full._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "__maybe" not in full.columns  # runs are decided before, and stored
+        assert "bitmap" in plan  # the others are left out before the shuffle
+        assert rows(full) == rows(one_by_one(spark, found, SPEC))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_months_at_once_leave_what_single_months_leave(spark, tmp_path):
     dates = ["20150201", "20150301", "20150401"]
     _feeds(spark, f"{tmp_path}/raw")
