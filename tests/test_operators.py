@@ -167,6 +167,24 @@ def test_broadcast_needs_a_checked_size(spark, tmp_path):
         sizing.measured_bytes = original
 
 
+def test_a_dimension_beyond_what_a_small_driver_builds_is_shuffled(spark, tmp_path):
+    """A hash table of 16 MB of counted keys takes the driver several times that; it had 256 MB."""
+    spark.range(1_200_000).selectExpr("CAST(id AS INT) AS key", "CAST(id AS INT) AS rk").write.parquet(str(tmp_path / "dim"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        dim = spark.read.parquet(str(tmp_path / "dim"))
+        assert measured_bytes(dim) == 1_200_000 * 32
+        facts = spark.range(10).selectExpr("CAST(id AS INT) AS k")
+        found = lookup_surrogates(facts, [(dim, "key", "rk", "k")])
+        assert [tuple(r) for r in found.orderBy("k").collect()] == [(i, i) for i in range(10)]
+        assert "strategy=broadcast" not in found._jdf.queryExecution().analyzed().toString()
+        hinted = broadcast_if_bounded(dim.where("key < 400000"))._jdf.queryExecution().analyzed().toString()
+        assert "strategy=broadcast" in hinted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_hot_lookup_key_is_split(spark, tmp_path):
     """A third of the facts on one key: adaptive execution splits that partition."""
     facts = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("payload"))
